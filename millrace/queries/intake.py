@@ -84,11 +84,13 @@ def bulk_load(w):
     return parts[0].unionByName(parts[1]).unionByName(parts[2]).unionByName(parts[3])
 
 
-@query("s7_delimited_sink")
+@query("s7_delimited_sink", """
+SELECT order_id, order_item_id, order_profit_capped, profit_margin, delivery_variance_days FROM {{facts}}""")
 def delimited_sink(w):
     path = new_location(w.spark, "sink")
     write_delimited(w.star.orders, path)
-    return read_delimited_text(w.spark, path).select(*_KEYS, "order_profit_capped", "profit_margin")
+    rows = read_delimited(w.spark, path, w.star.orders.schema)
+    return rows.select(*_KEYS, "order_profit_capped", "profit_margin", "delivery_variance_days")
 
 
 @query("s10_schema_report", """
@@ -139,11 +141,12 @@ def country_filter(w):
 
 
 @query("p2_valid_rows", """
-SELECT f.order_id, f.order_item_id, f.days_for_shipping_real FROM {{facts}} f
-WHERE f.days_for_shipping_real >= 0 AND f.shipping_mode IS NOT NULL""")
+SELECT order_id, order_item_id, customer_state, days_for_shipping_real FROM {{cleaned}}
+WHERE days_for_shipping_real >= 0 AND customer_state IS NOT NULL""")
 def valid_rows(w):
-    kept = (F.col("days_for_shipping_real") >= 0) & F.col("shipping_mode").isNotNull()
-    return w.star.orders.filter(kept).select(*_KEYS, "days_for_shipping_real")
+    kept = (F.col("`days_for_shipping_(real)`") >= 0) & F.col("customer_state").isNotNull()
+    return w.cleaned.filter(kept).select(
+        *_KEYS, "customer_state", F.col("`days_for_shipping_(real)`").alias("days_for_shipping_real"))
 
 
 @query("p3_spaced_names", """

@@ -9,7 +9,7 @@ from pyspark.sql import DataFrame, SparkSession
 
 from millrace.plans.warehouse import Warehouse, on_warehouse
 
-_MODULES = ("intake",)
+_MODULES = ("intake", "logistics", "machines")
 _queries: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 _sql: dict[str, str] = {}
 
