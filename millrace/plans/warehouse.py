@@ -11,11 +11,21 @@ from functools import cached_property
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
+from millrace.operators.models import Search
+from millrace.plans.delivery import PreparedRows, prepare_rows, train_boosted, train_forest
+from millrace.plans.maintenance import VaultReport, vault_job
 from millrace.plans.stand_ins import order_extract, telemetry_extract
 from millrace.plans.star import Star, build_star, clean_extract, training_view
 from millrace.plans.telemetry import clean_telemetry, telemetry_names
 from millrace.sources.staging import stage
 
+# Grids for the registered queries; the full grids are the operators' defaults.
+SMALL_BOOSTED_GRID = {"maxIter": [5, 10], "maxDepth": [4], "stepSize": [0.1], "subsamplingRate": [0.8],
+                      "featureSubsetStrategy": ["all"]}
+SMALL_FOREST_GRID = {"numTrees": [10], "maxDepth": [5, 8], "minInstancesPerNode": [1],
+                     "featureSubsetStrategy": ["0.33"]}
+SMALL_CLASS_GRID = {"maxDepth": [3, 5], "stepSize": [0.2], "maxIter": [10], "subsamplingRate": [0.8]}
+
 
 class Warehouse:
     def __init__(self, spark: SparkSession, folder: str):
@@ -58,6 +68,25 @@ class Warehouse:
         return telemetry_names(telemetry_extract(self.table("events"), gaps=False))
 
 
+    @cached_property
+    def prepared(self) -> PreparedRows:
+        """Encoded training view, split into training and vault rows."""
+        return prepare_rows(self.training)
+
+    @cached_property
+    def boosted(self) -> Search:
+        return train_boosted(self.prepared, SMALL_BOOSTED_GRID, folds=2)
+
+    @cached_property
+    def forest(self) -> Search:
+        return train_forest(self.prepared, SMALL_FOREST_GRID, folds=2)
+
+    @cached_property
+    def vault(self) -> VaultReport:
+        """Classifier trained on the history and validated on the vault."""
+        return vault_job(self.telemetry_raw, grid=SMALL_CLASS_GRID, folds=2)
+
+
 _open: dict[tuple, Warehouse] = {}
 
 

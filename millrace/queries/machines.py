@@ -239,7 +239,7 @@ def streamed_flags(w):
     cleaner = fit_telemetry_cleaner(w.telemetry_raw)
     events = w.table("events")
     scored = score_available(
-        w.spark, f"{w.folder}/events.parquet", events.schema,
+        w.spark, f"{w.folder}/events.parquet*", events.schema,
         lambda rows: cleaner.apply(telemetry_extract(rows)).select(
             "udi", "machine_id", "machine_failure",
             round_half_even(F.col("temp_difference_k"), 6).alias("temp_difference_k"),

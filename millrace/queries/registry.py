@@ -9,7 +9,7 @@ from pyspark.sql import DataFrame, SparkSession
 
 from millrace.plans.warehouse import Warehouse, on_warehouse
 
-_MODULES = ("intake", "logistics", "machines")
+_MODULES = ("intake", "logistics", "machines", "evaluation", "modelling")
 _queries: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 _sql: dict[str, str] = {}
 
@@ -38,9 +38,16 @@ def with_parts(sql: str) -> str:
                 chosen.append(part)
 
     need(sql)
-    plain = lambda text: text.replace("{{", "").replace("}}", "")
+
+    def plain(text: str) -> str:
+        for part in chosen:
+            text = text.replace("{{" + part + "}}", part)
+        return text.replace("{{", "{").replace("}}", "}")
+
     if not chosen:
         return sql
+    if sql.lstrip().startswith("WITH "):
+        sql = f"SELECT * FROM ({sql})"
     return "WITH " + ",\n".join(f"{p} AS ({plain(PARTS[p])})" for p in chosen) + "\n" + plain(sql)
 
 
