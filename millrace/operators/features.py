@@ -86,10 +86,11 @@ def fit_feature_encoder(
     stages = []
     if varied:
         indexed, flags = [f"_{c}_index" for c in varied], [f"_{c}_flags" for c in varied]
-        indexer = StringIndexerModel.from_arrays_of_labels(
-            [known[c][1:] for c in varied], inputCols=varied, outputCols=indexed,
-            handleInvalid="keep")
-        stages += [indexer, OneHotEncoder(inputCols=indexed, outputCols=flags, dropLast=True)]
+        # One indexer per column: the form for several pads the shorter label lists with null.
+        stages += [
+            StringIndexerModel.from_labels(known[c][1:], inputCol=c, outputCol=i, handleInvalid="keep")
+            for c, i in zip(varied, indexed)]
+        stages.append(OneHotEncoder(inputCols=indexed, outputCols=flags, dropLast=True))
     stages.append(VectorAssembler(
         inputCols=[*numbers, *[f"_{c}_flags" for c in varied]], outputCol="features"))
     names = [*numbers, *[f"{c}_{v}" for c in varied for v in known[c][1:]]]

@@ -7,6 +7,7 @@ from collections.abc import Sequence
 from pyspark.sql import DataFrame, functions as F
 
 BROADCAST_BYTES = 64 * 1024 * 1024
+HOT_SHARE = 1 / 1000
 _VARIABLE = ("string", "binary")
 
 
@@ -22,11 +23,23 @@ def measured_bytes(frame: DataFrame) -> int:
     return total or 0
 
 
-def hot_keys(frame: DataFrame, key: str, share: float) -> DataFrame:
-    """Keys that hold at least ``share`` of the rows: at most 1/share of them."""
-    counts = frame.filter(F.col(key).isNotNull()).groupBy(key).agg(F.count("*").alias("rows"))
-    total = frame.count()
-    return counts.filter(F.col("rows") >= max(share * total, 2.0)).select(key)
+def hot_keys(frame: DataFrame, key: str, share: float = HOT_SHARE) -> list:
+    """Keys that hold about ``share`` of the rows or more: at most 1/share of them.
+
+    Found by mergeable frequent-item sketches in one scan of the key column, merged in two
+    steps; counting every key would shuffle them all. The sketch only decides which way a
+    row takes to its lookup row, so its error cannot change a result.
+    """
+    tracked = 8 * round(1 / share)
+    present = frame.filter(F.col(key).isNotNull()).select(F.col(key).alias("k"))
+    sketches = present.groupBy((F.spark_partition_id() % 256).alias("part")).agg(
+        F.expr(f"approx_top_k_accumulate(k, {tracked})").alias("sketch"), F.count("*").alias("rows"))
+    merged = sketches.agg(
+        F.expr(f"approx_top_k_combine(sketch, {tracked})").alias("sketch"), F.sum("rows").alias("rows"))
+    found = merged.select("rows", F.explode(F.expr(
+        f"approx_top_k_estimate(sketch, {round(1 / share)})")).alias("top"))
+    return [r.item for r in found.filter(F.col("top.count") >= F.greatest(F.col("rows") * share, F.lit(2.0)))
+            .select("top.item").collect()]
 
 
 def lookup_join(
@@ -35,24 +48,26 @@ def lookup_join(
     key: str | Sequence[str],
     broadcast_bytes: int = BROADCAST_BYTES,
     size: int | None = None,
-    hot_share: float | None = None,
+    hot_share: float = HOT_SHARE,
+    hot_in: DataFrame | None = None,
 ) -> DataFrame:
     """``facts`` joined inner to ``lookup``, which has one row per key.
 
     A lookup table measured below ``broadcast_bytes`` is broadcast. A larger one is joined
-    by a shuffle, except for fact keys so frequent that one partition would overflow: there
-    are at most 1/``hot_share`` of these, so their lookup rows can be broadcast and their
-    fact rows stay where they are. ``key`` may give the two column names when they differ.
+    by a shuffle, except for the fact keys so frequent that one partition would overflow:
+    there are at most 1/``hot_share`` of these, so their lookup rows are broadcast and their
+    fact rows stay where they are.
+
+    ``key`` may give the two column names when they differ. ``size`` is the lookup's size
+    in bytes where it is known, or any larger figure. ``hot_in`` names a cheaper table to
+    find frequent keys in, such as the facts before other joins.
     """
     left, right = (key, key) if isinstance(key, str) else key
     if left != right:
         lookup = lookup.withColumnRenamed(right, left)
     if (measured_bytes(lookup) if size is None else size) <= broadcast_bytes:
         return facts.join(F.broadcast(lookup), left)
-    if hot_share is None:
-        partitions = int(facts.sparkSession.conf.get("spark.sql.shuffle.partitions", "200"))
-        hot_share = 1.0 / max(partitions, 2)
-    hot = [r[0] for r in hot_keys(facts, left, hot_share).collect()]
+    hot = hot_keys(facts if hot_in is None else hot_in, left, hot_share)
     if not hot:
         return facts.join(lookup, left)
     # A literal list filters at the scan on both sides.

@@ -12,7 +12,7 @@ from __future__ import annotations
 
 import math
 from collections.abc import Callable, Sequence
-from dataclasses import dataclass
+from dataclasses import dataclass, replace
 
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
@@ -20,6 +20,9 @@ _SLOTS = 1024  # intervals per power of two in the first pass
 _CUTS = 65536  # linear intervals in later passes
 _LIST_ROWS = 200_000  # an interval of so few rows is listed value by value
 _INTERVALS_PER_PASS = 100  # intervals refined by one scan
+MAX_SERIES = 1000
+
+_Found = tuple[float | int, int | None]  # a value and the rows up to it
 
 
 def _magnitude_slot(value: Column) -> Column:
@@ -47,21 +50,21 @@ class _Interval:
     rows: int
     ranks: tuple[int, ...]  # wanted 1-based ranks inside, counted from the series start
 
-    def settle(self) -> tuple[dict[tuple[str, int], float | int], _Interval | None]:
+    def settle(self, counted: bool) -> tuple[dict[tuple[str, int], _Found], _Interval | None]:
         """Ranks known from the bounds, and what is left to look into."""
         known, open_ranks = {}, []
         for rank in self.ranks:
-            if self.low == self.high or rank == self.below + 1:
-                known[self.series, rank] = self.low
-            elif rank == self.below + self.rows:
-                known[self.series, rank] = self.high
+            if self.low == self.high:
+                known[self.series, rank] = (self.low, self.below + self.rows)
+            elif not counted and rank == self.below + 1:
+                known[self.series, rank] = (self.low, None)
+            elif not counted and rank == self.below + self.rows:
+                known[self.series, rank] = (self.high, None)
             else:
                 open_ranks.append(rank)
         if not open_ranks:
             return known, None
-        return known, _Interval(
-            self.series, self.low, self.high, self.below, self.rows, tuple(open_ranks)
-        )
+        return known, replace(self, ranks=tuple(open_ranks))
 
 
 def _running(counts: DataFrame, by: str) -> DataFrame:
@@ -85,36 +88,42 @@ def series_values(frame: DataFrame, columns: Sequence[str]) -> DataFrame:
 
 
 def order_statistics(
-    values: DataFrame, wanted: Callable[[str, int], Sequence[int]]
-) -> tuple[dict[tuple[str, int], float | int], dict[str, int]]:
+    values: DataFrame,
+    wanted: Callable[[dict[str, int]], dict[str, Sequence[int]]],
+    counted: bool = False,
+) -> tuple[dict[tuple[str, int], _Found], dict[str, int]]:
     """Values at 1-based ranks.
 
     ``values`` has a text column ``series`` of few distinct values and a numeric column
-    ``value`` without nulls. ``wanted(series, n)`` names the ranks of a series of ``n`` rows.
-    Returns {(series, rank): value} and {series: n}.
+    ``value`` without nulls. ``wanted`` maps the row count of every series to the ranks
+    looked for. Returns {(series, rank): (value, rows up to that value)} and the row
+    counts; the second figure is only sure to be known if ``counted``.
     """
+    # The interval counts are few whatever the data; three reads share them.
     slots = (
         values.groupBy("series", _magnitude_slot(F.col("value")).alias("slot"))
         .agg(F.count("*").alias("rows"), F.min("value").alias("low"), F.max("value").alias("high"))
+        .persist()
     )
-    # The slot counts are few whatever the data; both reads below share one small table.
-    slots = slots.persist()
     try:
-        sizes = {r.series: r.rows for r in slots.groupBy("series").agg(F.sum("rows").alias("rows")).collect()}
-        ranks = {s: sorted(set(wanted(s, n))) for s, n in sizes.items()}
-        hits = _hits(_running(slots, "series"), "series", ranks)
+        totals = slots.groupBy("series").agg(F.sum("rows").alias("rows")).limit(MAX_SERIES + 1).collect()
+        if len(totals) > MAX_SERIES:
+            raise ValueError(f"more than {MAX_SERIES} groups to rank within")
+        sizes = {r.series: r.rows for r in totals}
+        ranks = {s: sorted({k for k in ks if 1 <= k <= sizes[s]}) for s, ks in wanted(sizes).items()}
+        ranks = {s: ks for s, ks in ranks.items() if ks}
         pending = [
             _Interval(r.series, r.low, r.high, r.upto - r.rows, r.rows,
                       tuple(k for k in ranks[r.series] if r.upto - r.rows < k <= r.upto))
-            for r in hits
-        ]
+            for r in _hits(_running(slots, "series"), "series", ranks)
+        ] if ranks else []
     finally:
         slots.unpersist()
-    found: dict[tuple[str, int], float | int] = {}
+    found: dict[tuple[str, int], _Found] = {}
     while True:
         unsettled = []
         for interval in pending:
-            known, rest = interval.settle()
+            known, rest = interval.settle(counted)
             found.update(known)
             if rest:
                 unsettled.append(rest)
@@ -191,8 +200,9 @@ def exact_quantiles(
     frame: DataFrame, columns: Sequence[str], probabilities: Sequence[float]
 ) -> dict[str, list[float | None]]:
     """Linearly interpolated quantiles of numeric columns; nulls and NaN do not count."""
-    def wanted(_series: str, n: int) -> list[int]:
-        return [k for p in probabilities for k in _interpolation_ranks(n, p)[:2]]
+    def wanted(sizes: dict[str, int]) -> dict[str, list[int]]:
+        return {s: [k for p in probabilities for k in _interpolation_ranks(n, p)[:2]]
+                for s, n in sizes.items()}
 
     found, sizes = order_statistics(series_values(frame, columns), wanted)
     result: dict[str, list[float | None]] = {}
@@ -204,7 +214,7 @@ def exact_quantiles(
                 quantiles.append(None)
                 continue
             lower, upper, share = _interpolation_ranks(n, p)
-            low, high = found[column, lower], found[column, upper]
+            low, high = found[column, lower][0], found[column, upper][0]
             quantiles.append(low if low == high else low + (high - low) * share)
         result[column] = quantiles
     return result

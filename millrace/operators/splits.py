@@ -7,6 +7,7 @@ part however the table is stored. The cut points are order statistics of the has
 
 from __future__ import annotations
 
+import itertools
 import math
 from collections.abc import Callable, Sequence
 
@@ -15,7 +16,7 @@ from pyspark.sql import Column, DataFrame, functions as F
 from millrace.operators.selection import order_statistics
 from millrace.sources.staging import stage
 
-MAX_STRATA = 1000
+_COPY = "_copy"
 
 
 def holdout_size(n: int, share: float) -> int:
@@ -68,74 +69,54 @@ def assign_parts(
     key = list(key or frame.columns)
     group = F.lit("all") if stratum is None else F.coalesce(F.col(stratum).cast("string"), F.lit(""))
     place = F.xxhash64(F.lit(seed), *[F.col(f"`{c}`") for c in key])
-    values = frame.select(group.alias("series"), place.alias("value"))
     cuts: dict[str, list[int]] = {}
-    counts = {r.series: r.n for r in
-              values.groupBy("series").agg(F.count("*").alias("n")).limit(MAX_STRATA + 1).collect()}
-    if len(counts) > MAX_STRATA:
-        raise ValueError(f"more than {MAX_STRATA} strata in {stratum!r}")
-    for series, sizes in part_sizes(counts).items():
-        cuts[series] = [sum(sizes[: i + 1]) for i in range(len(sizes) - 1)]
-    found, _ = order_statistics(
-        values, lambda s, n: [k for k in cuts.get(s, []) if 0 < k < n])
-    ties = _ties(values, found)
-    identified = frame
-    upper: dict[tuple[str, int], int] = {}
-    if ties:
-        identified = stage(frame.withColumn("_copy", F.monotonically_increasing_id()), "split")
-        upper = _break_ties(identified.select(group.alias("series"), place.alias("value"), "_copy"),
-                            found, ties)
-    numbers = {
-        series: sum((_after(series, k, counts[series], found, upper, place).cast("int")
-                     for k in limits), F.lit(0))
-        for series, limits in cuts.items()
-    }
-    number = F
-    for series, beyond in numbers.items():
-        number = number.when(group == series, beyond)
-    number = F.lit(0) if number is F else number.otherwise(0)
-    return identified.withColumn(part, number.cast("int")).drop("_copy")
-
-
-def _after(series, k, n, found, upper, place: Column) -> Column:
-    if k <= 0:
-        return F.lit(True)
-    if k >= n:
-        return F.lit(False)
-    cut = F.lit(found[series, k])
-    if (series, k) in upper:
-        return (place > cut) | ((place == cut) & (F.col("_copy") > upper[series, k]))
-    return place > cut
-
-
-def _ties(values: DataFrame, found: dict) -> dict[tuple[str, int], int]:
-    """Cuts that fall inside equal hashes, with how many of the equal rows come before."""
-    if not found:
-        return {}
-    names = list(found)
-    row = values.agg(*[
-        F.struct(
-            F.count_if((F.col("series") == s) & (F.col("value") < found[s, k])).alias("less"),
-            F.count_if((F.col("series") == s) & (F.col("value") == found[s, k])).alias("same"),
-        ).alias(f"c{i}")
-        for i, (s, k) in enumerate(names)
-    ]).first()
-    return {(s, k): k - row[i].less for i, (s, k) in enumerate(names)
-            if row[i].less + row[i].same > k}
-
-
-def _break_ties(rows: DataFrame, found: dict, ties: dict) -> dict[tuple[str, int], int]:
-    """Row numbers up to which the equal rows come before the cut."""
-    by_name = {f"{s}\x00{found[s, k]}": (s, found[s, k]) for s, k in ties}
-    name = F.lit(None).cast("string")
-    for label, (s, value) in by_name.items():
-        name = F.when((F.col("series") == s) & (F.col("value") == value), label).otherwise(name)
-    tied = rows.select(name.alias("series"), F.col("_copy").alias("value")).filter("series IS NOT NULL")
+
+    def wanted(counts: dict[str, int]) -> dict[str, list[int]]:
+        for series, sizes in part_sizes(counts).items():
+            cuts[series] = list(itertools.accumulate(sizes))[:-1]
+        return cuts
+
+    values = frame.select(group.alias("series"), place.alias("value"))
+    found, counts = order_statistics(values, wanted, counted=True)
+    tied = {at: value for at, (value, upto) in found.items() if upto > at[1]}
+    identified, last_copy = frame, {}
+    if tied:
+        identified = stage(frame.withColumn(_COPY, F.monotonically_increasing_id()), "split")
+        last_copy = _break_ties(
+            identified.select(group.alias("series"), place.alias("value"), _COPY), tied)
+
+    def beyond(series: str, k: int) -> Column:
+        """Whether a row comes after the k-th of its series."""
+        if k <= 0 or k >= counts[series]:
+            return F.lit(k <= 0)
+        cut = F.lit(found[series, k][0])
+        if (series, k) in last_copy:
+            return (place > cut) | ((place == cut) & (F.col(_COPY) > last_copy[series, k]))
+        return place > cut
+
+    number = F.lit(0)
+    if cuts:
+        numbers = {s: sum((beyond(s, k).cast("int") for k in ks), F.lit(0)) for s, ks in cuts.items()}
+        number = F
+        for series, value in numbers.items():
+            number = number.when(group == series, value)
+    return identified.withColumn(part, number.cast("int")).drop(_COPY)
+
+
+def _break_ties(rows: DataFrame, tied: dict[tuple[str, int], int]) -> dict[tuple[str, int], int]:
+    """The last row number before the cut, for cuts that fall inside equal hashes."""
+    names = {(s, value): f"{s}/{value}" for (s, _k), value in tied.items()}
+    name, before = F, []
+    for (s, value), label in names.items():
+        name = name.when((F.col("series") == s) & (F.col("value") == value), label)
+        before.append(F.count_if((F.col("series") == s) & (F.col("value") < value)).alias(label))
+    less = rows.agg(*before).first()
+    copies = rows.select(name.alias("series"), F.col(_COPY).alias("value")).filter("series IS NOT NULL")
     ranks: dict[str, list[int]] = {}
-    for (s, k), before in ties.items():
-        ranks.setdefault(f"{s}\x00{found[s, k]}", []).append(before)
-    copies, _ = order_statistics(tied, lambda label, _n: ranks[label])
-    return {(s, k): copies[f"{s}\x00{found[s, k]}", before] for (s, k), before in ties.items()}
+    for (s, k), value in tied.items():
+        ranks.setdefault(names[s, value], []).append(k - less[names[s, value]])
+    found, _ = order_statistics(copies, lambda _sizes: ranks)
+    return {(s, k): found[names[s, v], k - less[names[s, v]]][0] for (s, k), v in tied.items()}
 
 
 def holdout_split(

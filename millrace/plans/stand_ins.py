@@ -7,7 +7,7 @@ from pyspark.sql import DataFrame, functions as F
 from millrace.functions.machine import (
     heat_dissipation_failure, overstrain_failure, power_failure,
 )
-from millrace.operators.joins import lookup_join
+from millrace.operators.joins import BROADCAST_BYTES, lookup_join, measured_bytes
 
 # Order country written with an accent, to exercise non-ASCII text.
 ACCENTED_COUNTRY = "México"
@@ -26,18 +26,19 @@ def order_extract(tables) -> DataFrame:
         tables("customer").select("c_custkey", "c_mktsegment", "c_nationkey"),
         places, ("c_nationkey", "n_nationkey"),
     ).drop("c_nationkey")
-    orders = lookup_join(
-        tables("orders").select("o_orderkey", "o_custkey", "o_orderdate", "o_orderpriority"),
-        customers, ("o_custkey", "c_custkey"),
-    )
+    placed = tables("orders").select("o_orderkey", "o_custkey", "o_orderdate", "o_orderpriority")
+    orders = lookup_join(placed, customers, ("o_custkey", "c_custkey"))
+    # Orders too large on their own are so with their customers; measure the join only if not.
+    placed_size = measured_bytes(placed)
+    orders_size = placed_size if placed_size > BROADCAST_BYTES else None
     parts = tables("part").select("p_partkey", "p_size", "p_type", "p_name", "p_retailprice")
     suppliers = tables("supplier").select("s_suppkey", "s_name")
     lines = tables("lineitem").select(
         "l_orderkey", "l_linenumber", "l_partkey", "l_suppkey", "l_extendedprice", "l_discount",
         "l_shipdate")
-    joined = lookup_join(lines, orders, ("l_orderkey", "o_orderkey"))
-    joined = lookup_join(joined, parts, ("l_partkey", "p_partkey"))
-    joined = lookup_join(joined, suppliers, ("l_suppkey", "s_suppkey"))
+    joined = lookup_join(lines, orders, ("l_orderkey", "o_orderkey"), size=orders_size)
+    joined = lookup_join(joined, parts, ("l_partkey", "p_partkey"), hot_in=lines)
+    joined = lookup_join(joined, suppliers, ("l_suppkey", "s_suppkey"), hot_in=lines)
 
     priority = F.col("o_orderpriority")
     mode = (F.when(priority == "1-URGENT", "Same Day").when(priority == "2-HIGH", "First Class")

@@ -103,6 +103,7 @@ class Star:
     products: DataFrame
     departments: DataFrame
     orders: DataFrame
+    distinct: DataFrame  # fact rows before clipping
     sizes: dict[str, int]
 
     def tables(self) -> dict[str, DataFrame]:
@@ -154,19 +155,22 @@ def build_star(cleaned: DataFrame) -> Star:
     customers = stage(dimension(cleaned, CUSTOMER_TYPES), "dim_customers")
     products = stage(dimension(cleaned, PRODUCT_TYPES), "dim_products")
     departments = stage(dimension(cleaned, DEPARTMENT_TYPES), "dim_departments")
-    orders = order_features(stage(distinct_orders(cleaned), "distinct_orders"))
+    distinct = stage(distinct_orders(cleaned), "distinct_orders")
     sizes = {"customers": measured_bytes(customers), "products": measured_bytes(products),
              "departments": measured_bytes(departments)}
-    return Star(customers, products, departments, orders, sizes)
+    return Star(customers, products, departments, order_features(distinct), distinct, sizes)
 
 
 def star_join(star: Star) -> DataFrame:
     """Facts with all dimensions; real days not negative and the state known."""
     facts = star.orders.filter("days_for_shipping_real >= 0")
     customers = star.customers.filter("customer_state IS NOT NULL")
-    joined = lookup_join(facts, customers, "customer_id", size=star.sizes["customers"])
-    joined = lookup_join(joined, star.products, "product_card_id", size=star.sizes["products"])
-    return lookup_join(joined, star.departments, "department_id", size=star.sizes["departments"])
+    joined = facts
+    for lookup, name, key in ((customers, "customers", "customer_id"),
+                              (star.products, "products", "product_card_id"),
+                              (star.departments, "departments", "department_id")):
+        joined = lookup_join(joined, lookup, key, size=star.sizes[name], hot_in=facts)
+    return joined
 
 
 def training_view(star: Star) -> DataFrame:

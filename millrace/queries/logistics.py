@@ -126,9 +126,8 @@ def first_orders(w):
 @query("f7_clipped_profit", """
 SELECT order_id, order_item_id, order_profit_per_order, order_profit_capped FROM {{capped}}""")
 def clipped_profit(w):
-    rows = w.cleaned.withColumnsRenamed(TABLE_NAMES).select(*ORDER_TYPES).distinct()
-    # The star keeps the same distinct rows at rest; its bounds are those fitted here.
-    bounds = fit_clip(rows.select("order_profit_per_order"), "order_profit_per_order")
+    rows = w.star.distinct
+    bounds = fit_clip(rows, "order_profit_per_order")
     return bounds.apply(rows, into="order_profit_capped").select(
         *_KEYS, "order_profit_per_order", "order_profit_capped")
 
