@@ -136,7 +136,7 @@ def grid_search(
 
         pool = ThreadPool(parallelism)
         try:
-            outcomes = pool.map(inheritable_thread_target(run), tasks)
+            outcomes = pool.map(inheritable_thread_target(numbered.sparkSession)(run), tasks)
         finally:
             pool.close()
         totals = [0.0] * len(points)

@@ -55,7 +55,7 @@ def oracle_rows(folder: str, sql: str):
     con = duckdb.connect()
     for t in TABLES:
         con.execute(f"CREATE VIEW {t} AS SELECT * FROM '{folder}/{t}.parquet'")
-    table = con.execute(sql).to_arrow_table()
+    table = con.sql(sql).to_arrow_table()
     return table.column_names, [tuple(d.values()) for d in table.to_pylist()], table.schema
 
 
