@@ -28,6 +28,6 @@ def zip_code(value: Column, parity: bool = False) -> Column:
     if parity:
         stripped = F.replace(F.coalesce(text, F.lit("nan")), F.lit(".0"), F.lit(""))
     else:
-        stripped = F.regexp_replace(text, r"\.0$", "")
+        stripped = F.when(F.endswith(text, F.lit(".0")), F.left(text, F.length(text) - 2)).otherwise(text)
     # lpad() alone would cut longer codes.
     return F.when(F.length(stripped) < 5, F.lpad(stripped, 5, "0")).otherwise(stripped)

@@ -46,14 +46,14 @@ def lookup_join(
     facts: DataFrame,
     lookup: DataFrame,
     key: str | Sequence[str],
-    broadcast_bytes: int = BROADCAST_BYTES,
+    broadcast_bytes: int | None = None,
     size: int | None = None,
     hot_share: float = HOT_SHARE,
     hot_in: DataFrame | None = None,
 ) -> DataFrame:
     """``facts`` joined inner to ``lookup``, which has one row per key.
 
-    A lookup table measured below ``broadcast_bytes`` is broadcast. A larger one is joined
+    A lookup table measured below ``broadcast_bytes`` (64 MB) is broadcast. A larger one is joined
     by a shuffle, except for the fact keys so frequent that one partition would overflow:
     there are at most 1/``hot_share`` of these, so their lookup rows are broadcast and their
     fact rows stay where they are.
@@ -65,7 +65,8 @@ def lookup_join(
     left, right = (key, key) if isinstance(key, str) else key
     if left != right:
         lookup = lookup.withColumnRenamed(right, left)
-    if (measured_bytes(lookup) if size is None else size) <= broadcast_bytes:
+    limit = BROADCAST_BYTES if broadcast_bytes is None else broadcast_bytes
+    if (measured_bytes(lookup) if size is None else size) <= limit:
         return facts.join(F.broadcast(lookup), left)
     hot = hot_keys(facts if hot_in is None else hot_in, left, hot_share)
     if not hot:

@@ -3,7 +3,7 @@
 ``percentile`` keeps one entry per distinct value in a single task and a global sort moves
 every row. Here each pass counts rows per value interval (combined before the shuffle) and
 only the intervals that hold a wanted rank are looked into again. The first pass cuts the
-number line so that every interval spans at most 1/1024 of its magnitude; later passes cut
+number line so that every interval spans at most 1/256 of its magnitude; later passes cut
 linearly. Two passes settle billions of rows, three settle trillions, ties end at once.
 Only interval bounds of the wanted ranks reach the driver.
 """
@@ -16,7 +16,8 @@ from dataclasses import dataclass, replace
 
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
-_SLOTS = 1024  # intervals per power of two in the first pass
+_SLOTS = 256  # intervals per power of two in the first pass
+_GATHERED_SLOTS = 20_000  # so few interval counts are looked through on the driver
 _CUTS = 65536  # linear intervals in later passes
 _LIST_ROWS = 200_000  # an interval of so few rows is listed value by value
 _INTERVALS_PER_PASS = 100  # intervals refined by one scan
@@ -99,24 +100,29 @@ def order_statistics(
     looked for. Returns {(series, rank): (value, rows up to that value)} and the row
     counts; the second figure is only sure to be known if ``counted``.
     """
-    # The interval counts are few whatever the data; three reads share them.
     slots = (
         values.groupBy("series", _magnitude_slot(F.col("value")).alias("slot"))
         .agg(F.count("*").alias("rows"), F.min("value").alias("low"), F.max("value").alias("high"))
         .persist()
     )
     try:
-        totals = slots.groupBy("series").agg(F.sum("rows").alias("rows")).limit(MAX_SERIES + 1).collect()
-        if len(totals) > MAX_SERIES:
-            raise ValueError(f"more than {MAX_SERIES} groups to rank within")
-        sizes = {r.series: r.rows for r in totals}
+        counts = slots.limit(_GATHERED_SLOTS + 1).collect()
+        few = len(counts) <= _GATHERED_SLOTS
+        if few:
+            sizes = _sizes(counts)
+        else:
+            sizes = _sizes(slots.groupBy("series").agg(F.sum("rows").alias("rows"))
+                           .limit(MAX_SERIES + 1).collect())
         ranks = {s: sorted({k for k in ks if 1 <= k <= sizes[s]}) for s, ks in wanted(sizes).items()}
         ranks = {s: ks for s, ks in ranks.items() if ks}
+        if not ranks:
+            return {}, sizes
+        hits = _local_hits(counts, ranks) if few else _hits(_running(slots, "series"), "series", ranks)
         pending = [
-            _Interval(r.series, r.low, r.high, r.upto - r.rows, r.rows,
-                      tuple(k for k in ranks[r.series] if r.upto - r.rows < k <= r.upto))
-            for r in _hits(_running(slots, "series"), "series", ranks)
-        ] if ranks else []
+            _Interval(r.series, r.low, r.high, upto - r.rows, r.rows,
+                      tuple(k for k in ranks[r.series] if upto - r.rows < k <= upto))
+            for r, upto in hits
+        ]
     finally:
         slots.unpersist()
     found: dict[tuple[str, int], _Found] = {}
@@ -134,15 +140,35 @@ def order_statistics(
             pending += _refine(values, unsettled[start : start + _INTERVALS_PER_PASS])
 
 
-def _hits(running: DataFrame, by: str, ranks: dict) -> list:
-    """Counted intervals that hold a wanted rank."""
+def _sizes(counts: list) -> dict[str, int]:
+    """Rows per series; refuses more series than can be ranked apart."""
+    sizes: dict[str, int] = {}
+    for r in counts:
+        sizes[r.series] = sizes.get(r.series, 0) + r.rows
+    if len(sizes) > MAX_SERIES:
+        raise ValueError(f"more than {MAX_SERIES} groups to rank within")
+    return sizes
+
+
+def _local_hits(counts: list, ranks: dict[str, list[int]]) -> list[tuple]:
+    """``_hits`` on interval counts that are at hand."""
+    hits, upto = [], dict.fromkeys(ranks, 0)
+    for r in sorted((r for r in counts if r.series in ranks), key=lambda r: r.low):
+        upto[r.series] += r.rows
+        if any(upto[r.series] - r.rows < k <= upto[r.series] for k in ranks[r.series]):
+            hits.append((r, upto[r.series]))
+    return hits
+
+
+def _hits(running: DataFrame, by: str, ranks: dict) -> list[tuple]:
+    """Counted intervals that hold a wanted rank, each with the rows up to its end."""
     holds = F.lit(False)
     for key, wanted_ranks in ranks.items():
         inside = F.lit(False)
         for rank in wanted_ranks:
             inside = inside | ((F.col("upto") - F.col("rows") < rank) & (F.col("upto") >= rank))
         holds = holds | ((F.col(by) == F.lit(key)) & inside)
-    return running.filter(holds).collect()
+    return [(r, r.upto) for r in running.filter(holds).collect()]
 
 
 def _first_case(conditions: Sequence[Column], results: Sequence[Column]) -> Column:
@@ -182,9 +208,9 @@ def _refine(values: DataFrame, intervals: list[_Interval]) -> list[_Interval]:
     # Ranks are counted inside the interval.
     inner = {i: [k - p.below for k in p.ranks] for i, p in enumerate(intervals)}
     result = []
-    for r in _hits(_running(counts, "owner"), "owner", inner):
+    for r, upto in _hits(_running(counts, "owner"), "owner", inner):
         part = intervals[r.owner]
-        below = part.below + r.upto - r.rows
+        below = part.below + upto - r.rows
         held = tuple(k for k in part.ranks if below < k <= below + r.rows)
         result.append(_Interval(part.series, r.low, r.high, below, r.rows, held))
     return result

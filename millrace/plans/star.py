@@ -15,7 +15,7 @@ from millrace.operators.cleaning import fit_clip
 from millrace.operators.columns import drop_mostly_null, enforce_types, missing_as_null, rename_all
 from millrace.operators.integrity import one_row_per_key
 from millrace.operators.joins import lookup_join, measured_bytes
-from millrace.sources.staging import stage
+from millrace.sources.staging import stage_all
 
 # Table layouts and their types.
 CUSTOMER_TYPES = {
@@ -152,10 +152,13 @@ def dimension(cleaned: DataFrame, types: dict[str, str], unique: bool = True) ->
 
 def build_star(cleaned: DataFrame) -> Star:
     """Write the four tables. ``cleaned`` is read four times and should be a stored table."""
-    customers = stage(dimension(cleaned, CUSTOMER_TYPES), "dim_customers")
-    products = stage(dimension(cleaned, PRODUCT_TYPES), "dim_products")
-    departments = stage(dimension(cleaned, DEPARTMENT_TYPES), "dim_departments")
-    distinct = stage(distinct_orders(cleaned), "distinct_orders")
+    tables = stage_all({
+        "distinct_orders": distinct_orders(cleaned),
+        "dim_customers": dimension(cleaned, CUSTOMER_TYPES),
+        "dim_products": dimension(cleaned, PRODUCT_TYPES),
+        "dim_departments": dimension(cleaned, DEPARTMENT_TYPES),
+    })
+    distinct, customers, products, departments = tables.values()
     sizes = {"customers": measured_bytes(customers), "products": measured_bytes(products),
              "departments": measured_bytes(departments)}
     return Star(customers, products, departments, order_features(distinct), distinct, sizes)

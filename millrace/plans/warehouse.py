@@ -17,7 +17,7 @@ from millrace.plans.maintenance import VaultReport, vault_job
 from millrace.plans.stand_ins import order_extract, telemetry_extract
 from millrace.plans.star import Star, build_star, clean_extract, training_view
 from millrace.plans.telemetry import clean_telemetry, telemetry_names
-from millrace.sources.staging import stage
+from millrace.sources.staging import spread, stage
 
 # Grids for the registered queries; the full grids are the operators' defaults.
 SMALL_BOOSTED_GRID = {"maxIter": [5, 10], "maxDepth": [4], "stepSize": [0.1], "subsamplingRate": [0.8],
@@ -38,7 +38,8 @@ class Warehouse:
     @cached_property
     def extract(self) -> DataFrame:
         """The wide order extract at rest."""
-        return stage(order_extract(self.table), "order_extract")
+        tables = lambda name: spread(self.table(name)) if name == "lineitem" else self.table(name)
+        return stage(order_extract(tables), "order_extract")
 
     @cached_property
     def cleaned(self) -> DataFrame:

@@ -9,9 +9,13 @@ from __future__ import annotations
 
 import tempfile
 import uuid
+from multiprocessing.pool import ThreadPool
 
+from pyspark import inheritable_thread_target
 from pyspark.sql import DataFrame, SparkSession
 
+SMALL_TABLE_ROWS = 20_000_000
+
 
 def staging_root(spark: SparkSession) -> str:
     """The folder of spark.checkpoint.dir; in local mode, where unset, a scratch folder."""
@@ -36,3 +40,26 @@ def stage(frame: DataFrame, label: str) -> DataFrame:
     location = new_location(frame.sparkSession, label)
     frame.write.parquet(location)
     return frame.sparkSession.read.schema(frame.schema).parquet(location)
+
+
+def stage_all(frames: dict[str, DataFrame]) -> dict[str, DataFrame]:
+    """Write independent stages side by side."""
+    spark = next(iter(frames.values())).sparkSession
+    pool = ThreadPool(len(frames))
+    try:
+        written = pool.map(inheritable_thread_target(spark)(lambda item: stage(item[1], item[0])), frames.items())
+    finally:
+        pool.close()
+    return dict(zip(frames, written))
+
+
+def spread(table: DataFrame) -> DataFrame:
+    """A small table of fewer files than cores, dealt out to all of them.
+
+    A file written as one block is one task, and so is everything computed from it. Tables
+    of many files, or too large to be dealt out cheaply, stay as they are.
+    """
+    cores = table.sparkSession.sparkContext.defaultParallelism
+    if len(table.inputFiles()) >= cores or table.count() > SMALL_TABLE_ROWS:
+        return table
+    return table.repartition(cores)

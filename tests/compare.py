@@ -1,10 +1,11 @@
 """Run registered queries in Spark and their SQL in DuckDB, and compare exactly.
 
-    python tests/compare.py [--sf 0.01] [name-prefix ...]
+    python tests/compare.py [--folder /root/testdata/sf0.01] [--broadcast-bytes N] [name-prefix ...]
 """
 
 from __future__ import annotations
 
+import argparse
 import datetime
 import decimal
 import math
@@ -81,13 +82,16 @@ def compare(frame, folder: str, sql: str) -> str:
 def main() -> int:
     import __spark_entry__ as entry
 
-    args = sys.argv[1:]
-    sf = "0.01"
-    if "--sf" in args:
-        i = args.index("--sf")
-        sf = args[i + 1]
-        del args[i : i + 2]
-    folder = f"/root/testdata/sf{sf}"
+    parser = argparse.ArgumentParser()
+    parser.add_argument("--folder", default="/root/testdata/sf0.01")
+    parser.add_argument("--broadcast-bytes", type=int, help="limit above which lookups are shuffled")
+    parser.add_argument("names", nargs="*", help="prefixes of query names")
+    options = parser.parse_args()
+    folder, args = options.folder, options.names
+    if options.broadcast_bytes is not None:
+        from millrace.operators import joins
+
+        joins.BROADCAST_BYTES = options.broadcast_bytes
     spark, sqls, failures = session(), entry.oracle_sql(), 0
     for name, build in entry.queries().items():
         if args and not any(name.startswith(a) for a in args):
