@@ -18,6 +18,7 @@ LABEL = "delivery_variance_days"
 
 MAX_WIDE_COLUMNS = 2_000
 MAX_CATEGORIES = 100_000
+MAX_INDEXED_CATEGORIES = 10_000
 
 
 def distinct_values(
@@ -60,10 +61,14 @@ def fit_wide_indicators(
 
 @dataclass(frozen=True)
 class FeatureEncoder:
-    """Numbers, then indicators, as one sparse vector; ``names`` tells what each slot is."""
+    """Features as one vector; ``names`` tells what each slot is.
+
+    ``bins`` is the number of bins trees need to tell all values of a category apart.
+    """
 
     model: PipelineModel
     names: list[str]
+    bins: int = 2
 
     def apply(self, frame: DataFrame, keep: Sequence[str], label: str | None = None) -> DataFrame:
         """``keep`` columns, ``features`` and, if named, the label as a double."""
@@ -97,6 +102,25 @@ def fit_feature_encoder(
     return FeatureEncoder(Pipeline(stages=stages).fit(frame), names)
 
 
+def fit_index_encoder(
+    frame: DataFrame, categories: Sequence[str], numbers: Sequence[str],
+    limit: int = MAX_INDEXED_CATEGORIES,
+) -> FeatureEncoder:
+    """Numbers and one slot per category column, marked as nominal for the tree models.
+
+    Spark's trees split nominal features into sets of values. A row then takes a few slots
+    instead of one per category, which is what fits in memory on a large table.
+    """
+    known = distinct_values(frame, categories, limit)
+    indexed = [f"_{c}_index" for c in categories]
+    stages = [
+        StringIndexerModel.from_labels(known[c] or [""], inputCol=c, outputCol=i, handleInvalid="keep")
+        for c, i in zip(categories, indexed)]
+    stages.append(VectorAssembler(inputCols=[*numbers, *indexed], outputCol="features"))
+    bins = max((len(known[c]) + 1 for c in categories), default=2)
+    return FeatureEncoder(Pipeline(stages=stages).fit(frame), [*numbers, *categories], bins)
+
+
 def feature_sums(encoded: DataFrame, names: Sequence[str]) -> DataFrame:
     """Sum of every feature, by name."""
     total = encoded.select(Summarizer.sum(F.col("features")).alias("total"))

@@ -16,7 +16,7 @@ from pyspark.sql import DataFrame, functions as F
 
 from millrace.operators.metrics import confusion_counts, with_ratios
 from millrace.operators.splits import with_folds
-from millrace.sources.staging import stage
+from millrace.sources.staging import spread, stage
 
 # The searched grids, seeds and number of folds. Spark's trees stop at depth
 # 30, which stands for "unlimited"; a minimum of 2 or 5 rows to split a node becomes a
@@ -117,7 +117,7 @@ def grid_search(
     """
     start = time.perf_counter()
     label = "label" if stratify else None
-    numbered = stage(with_folds(rows, folds, seed, key, label), "folds").persist()
+    numbered = spread(stage(with_folds(rows, folds, seed, key, label), "folds")).persist()
     try:
         points = candidates(grid)
         share_rounds = score is negative_mae and isinstance(build(), GBTRegressor)
@@ -165,5 +165,6 @@ def save_model(model: Model, path: str) -> None:
     model.write().overwrite().save(path)
 
 
-def load_boosted_regressor(path: str) -> GBTRegressionModel:
-    return GBTRegressionModel.load(path)
+def load_model(path: str, kind: type[Model] = GBTRegressionModel) -> Model:
+    """Read a saved model back; ``kind`` is its class."""
+    return kind.load(path)

@@ -4,10 +4,13 @@ from __future__ import annotations
 
 from collections.abc import Mapping
 from dataclasses import dataclass
+from functools import partial
 
 from pyspark.sql import DataFrame, functions as F
 
-from millrace.operators.features import CATEGORIES, LABEL, FeatureEncoder, fit_feature_encoder
+from millrace.operators.features import (
+    CATEGORIES, LABEL, FeatureEncoder, fit_feature_encoder, fit_index_encoder,
+)
 from millrace.operators.metrics import (
     BOOSTED, FOREST, choose_champion, metrics_table, model_metrics, paired_t_test,
 )
@@ -16,7 +19,7 @@ from millrace.operators.models import (
     grid_search, importances, negative_mae, top_importances,
 )
 from millrace.operators.splits import holdout_split
-from millrace.sources.staging import stage
+from millrace.sources.staging import stage, stage_all
 
 ROW = "row_id"
 
@@ -30,18 +33,29 @@ class PreparedRows:
     encoder: FeatureEncoder
 
 
-def prepare_rows(view: DataFrame, share: float = 0.2, seed: int = 16) -> PreparedRows:
+def prepare_rows(
+    view: DataFrame, share: float = 0.2, seed: int = 16, encoding: str = "indicators"
+) -> PreparedRows:
     """Encode a training view and hold out an exact share.
 
-    Categories are learnt from all rows, before the split. A row number stored with the
-    rows tells complete copies apart and pairs the predictions of two models.
+    ``encoding`` is "indicators" (one 0/1 feature per category value) or "indexed" (one
+    nominal feature per column: far smaller rows, for large tables). Categories are learnt
+    from all rows, before the split. A row number stored with the rows tells complete
+    copies apart and pairs the predictions of two models.
     """
     numbers = [c for c in view.columns if c not in CATEGORIES and c != LABEL]
-    encoder = fit_feature_encoder(view, CATEGORIES, numbers)
+    fit = {"indicators": fit_feature_encoder, "indexed": fit_index_encoder}[encoding]
+    encoder = fit(view, CATEGORIES, numbers)
     numbered = view.withColumn(ROW, F.monotonically_increasing_id())
     encoded = stage(encoder.apply(numbered, [ROW], LABEL), "encoded_rows")
     train, vault = holdout_split(encoded, share, seed, [ROW])
-    return PreparedRows(stage(train, "train_rows"), stage(vault, "vault_rows"), encoder)
+    parts = stage_all({"train_rows": train, "vault_rows": vault})
+    return PreparedRows(parts["train_rows"], parts["vault_rows"], encoder)
+
+
+def _with_bins(build, rows: PreparedRows):
+    """An estimator with bins enough for the widest nominal feature."""
+    return partial(build, maxBins=max(32, rows.encoder.bins))
 
 
 @dataclass(frozen=True)
@@ -55,14 +69,14 @@ class Comparison:
 def train_boosted(
     rows: PreparedRows, grid: Mapping = BOOSTED_REGRESSION_GRID, folds: int = FOLDS, parallelism: int = 4
 ) -> Search:
-    return grid_search(rows.train, boosted_regressor, grid, negative_mae, folds, key=[ROW],
+    return grid_search(rows.train, _with_bins(boosted_regressor, rows), grid, negative_mae, folds, key=[ROW],
                        parallelism=parallelism)
 
 
 def train_forest(
     rows: PreparedRows, grid: Mapping = FOREST_GRID, folds: int = FOLDS, parallelism: int = 4
 ) -> Search:
-    return grid_search(rows.train, forest_regressor, grid, negative_mae, folds, key=[ROW],
+    return grid_search(rows.train, _with_bins(forest_regressor, rows), grid, negative_mae, folds, key=[ROW],
                        parallelism=parallelism)
 
 

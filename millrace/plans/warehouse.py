@@ -74,6 +74,11 @@ class Warehouse:
         """Encoded training view, split into training and vault rows."""
         return prepare_rows(self.training)
 
+    @cached_property
+    def indexed(self) -> PreparedRows:
+        """The same with one nominal feature per category column."""
+        return prepare_rows(self.training, encoding="indexed")
+
     @cached_property
     def boosted(self) -> Search:
         return train_boosted(self.prepared, SMALL_BOOSTED_GRID, folds=2)

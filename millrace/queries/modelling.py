@@ -7,21 +7,22 @@ from functools import reduce
 from pyspark.ml.functions import vector_to_array
 from pyspark.sql import DataFrame, functions as F
 
-from millrace.functions.numeric import round_half_even
+from millrace.functions.numeric import percent, round_half_even
 from millrace.operators.features import CATEGORIES, LABEL, feature_sums, fit_feature_encoder
 from millrace.operators.metrics import choose_champion, class_weight, regression_metrics
 from millrace.operators.models import (
-    importances, load_boosted_regressor, save_model, top_importances,
+    importances, load_model, save_model, top_importances,
 )
 from millrace.operators.scoring import flagged_machines
 from millrace.operators.splits import (
     holdout_split, stratified_split, vault_split, with_folds,
 )
-from millrace.plans.delivery import metrics_report, vault_predictions
+from millrace.plans.delivery import metrics_report, train_boosted, vault_predictions
 from millrace.plans.maintenance import labelled_vectors, score_machines
 from millrace.plans.scoring_batch import literal_batch
 from millrace.plans.stand_ins import telemetry_extract
 from millrace.plans.telemetry import MODEL_INPUTS, telemetry_names, with_temperature_difference
+from millrace.plans.warehouse import SMALL_BOOSTED_GRID
 from millrace.queries.registry import query
 from millrace.sources.staging import new_location
 from millrace.streaming.scoring import score_available
@@ -126,6 +127,12 @@ def boosted_quality(w):
     return regression_metrics(w.boosted.model.transform(w.prepared.vault))
 
 
+@query("m3_boosted_regression_indexed")
+def boosted_on_indexed(w):
+    search = train_boosted(w.indexed, SMALL_BOOSTED_GRID, folds=2)
+    return regression_metrics(search.model.transform(w.indexed.vault))
+
+
 @query("m4_forest_regression")
 def forest_quality(w):
     return regression_metrics(w.forest.model.transform(w.prepared.vault))
@@ -172,6 +179,13 @@ def percentages(w):
     return w.vault.results.select("udi", "machine_id", "failure_probability")
 
 
+@query("f17_percent_of_load", """
+SELECT udi, failure_probability FROM {{scored}}""")
+def load_percent(w):
+    load = F.least(F.lit(1.0), F.col("tool_wear_min") * F.col("torque_nm") / 13000)
+    return w.readings.select("udi", percent(load).alias("failure_probability"))
+
+
 @query("m11_batch_scoring")
 def batch_scoring(w):
     batch = literal_batch(w.spark)
@@ -194,7 +208,7 @@ def trained_champion(w):
 def reloaded_model(w):
     path = new_location(w.spark, "boosted-model")
     save_model(w.boosted.model, path)
-    return regression_metrics(load_boosted_regressor(path).transform(w.prepared.vault))
+    return regression_metrics(load_model(path).transform(w.prepared.vault))
 
 
 @query("s9_metrics_report")

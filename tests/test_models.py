@@ -35,6 +35,14 @@ def test_too_many_categories_are_refused(spark):
         features.fit_wide_indicators(rows, ["k"], limit=10)
 
 
+def test_indexed_encoding_is_nominal(spark, view):
+    rows = delivery.prepare_rows(view, encoding="indexed")
+    assert len(rows.encoder.names) == 10 and rows.encoder.bins == 8
+    search = delivery.train_boosted(rows, {"maxIter": [6], "maxDepth": [4], "stepSize": [0.3]}, folds=2)
+    baseline = rows.vault.agg(F.stddev_pop("label")).first()[0]
+    assert regression_metrics(search.model.transform(rows.vault)).first().rmse < 0.5 * baseline
+
+
 def test_grid_sizes():
     assert len(models.candidates(models.BOOSTED_REGRESSION_GRID)) == 24
     assert len(models.candidates(models.FOREST_GRID)) == 24
@@ -72,7 +80,7 @@ def test_delivery_models(spark, view, tmp_path):
     assert len(top) == 10 and top[0].importance >= top[1].importance
     path = str(tmp_path / "model")
     models.save_model(boosted.model, path)
-    again = regression_metrics(models.load_boosted_regressor(path).transform(rows.vault)).first()
+    again = regression_metrics(models.load_model(path).transform(rows.vault)).first()
     assert again.rmse == pytest.approx(quality.rmse)
 
 
