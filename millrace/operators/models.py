@@ -134,11 +134,8 @@ def grid_search(
             scored = _scores_of_fold(build, [points[i] for i in members], score, train, held_out)
             return list(zip(members, scored))
 
-        pool = ThreadPool(parallelism)
-        try:
+        with ThreadPool(parallelism) as pool:
             outcomes = pool.map(inheritable_thread_target(numbered.sparkSession)(run), tasks)
-        finally:
-            pool.close()
         totals = [0.0] * len(points)
         for outcome in outcomes:
             for i, value in outcome:

@@ -15,7 +15,7 @@ from millrace.operators.cleaning import fit_clip
 from millrace.operators.columns import drop_mostly_null, enforce_types, missing_as_null, rename_all
 from millrace.operators.integrity import one_row_per_key
 from millrace.operators.joins import lookup_join, measured_bytes
-from millrace.sources.staging import stage_all
+from millrace.sources.staging import side_by_side, stage_all
 
 # Table layouts and their types.
 CUSTOMER_TYPES = {
@@ -143,11 +143,12 @@ def order_features(distinct: DataFrame) -> DataFrame:
 def dimension(cleaned: DataFrame, types: dict[str, str], unique: bool = True) -> DataFrame:
     """Distinct rows of the dimension's columns, or one row per key.
 
-    A dimension with two rows for one key would multiply fact rows in every join.
+    A dimension with two rows for one key would multiply fact rows in every join. The
+    distinct comes first in either case: hashing shrinks the extract to the few dimension
+    rows, and only these are compared per key.
     """
-    rows = enforce_types(cleaned, types)
-    key = next(iter(types))
-    return one_row_per_key(rows, [key]) if unique else rows.distinct()
+    rows = enforce_types(cleaned, types).distinct()
+    return one_row_per_key(rows, [next(iter(types))]) if unique else rows
 
 
 def build_star(cleaned: DataFrame) -> Star:
@@ -159,8 +160,8 @@ def build_star(cleaned: DataFrame) -> Star:
         "dim_departments": dimension(cleaned, DEPARTMENT_TYPES),
     })
     distinct, customers, products, departments = tables.values()
-    sizes = {"customers": measured_bytes(customers), "products": measured_bytes(products),
-             "departments": measured_bytes(departments)}
+    dimensions = {"customers": customers, "products": products, "departments": departments}
+    sizes = dict(zip(dimensions, side_by_side(cleaned.sparkSession, measured_bytes, dimensions.values())))
     return Star(customers, products, departments, order_features(distinct), distinct, sizes)
 
 

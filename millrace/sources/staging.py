@@ -9,13 +9,18 @@ from __future__ import annotations
 
 import tempfile
 import uuid
+from collections.abc import Callable, Iterable
 from multiprocessing.pool import ThreadPool
+from typing import TypeVar
 
 from pyspark import inheritable_thread_target
 from pyspark.sql import DataFrame, SparkSession
 
 SMALL_TABLE_ROWS = 20_000_000
 
+T = TypeVar("T")
+R = TypeVar("R")
+
 
 def staging_root(spark: SparkSession) -> str:
     """The folder of spark.checkpoint.dir; in local mode, where unset, a scratch folder."""
@@ -42,14 +47,17 @@ def stage(frame: DataFrame, label: str) -> DataFrame:
     return frame.sparkSession.read.schema(frame.schema).parquet(location)
 
 
+def side_by_side(spark: SparkSession, work: Callable[[T], R], items: Iterable[T]) -> list[R]:
+    """Independent jobs, submitted together so that small ones fill idle cores."""
+    items = list(items)
+    with ThreadPool(len(items)) as pool:
+        return pool.map(inheritable_thread_target(spark)(work), items)
+
+
 def stage_all(frames: dict[str, DataFrame]) -> dict[str, DataFrame]:
     """Write independent stages side by side."""
     spark = next(iter(frames.values())).sparkSession
-    pool = ThreadPool(len(frames))
-    try:
-        written = pool.map(inheritable_thread_target(spark)(lambda item: stage(item[1], item[0])), frames.items())
-    finally:
-        pool.close()
+    written = side_by_side(spark, lambda item: stage(item[1], item[0]), frames.items())
     return dict(zip(frames, written))
 
 

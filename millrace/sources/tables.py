@@ -7,7 +7,7 @@ from collections.abc import Mapping
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from millrace.sources.delimited import read_delimited, write_delimited
-from millrace.sources.staging import new_location, stage
+from millrace.sources.staging import new_location, side_by_side, stage_all
 
 # Typed layout of the stored tables.
 TABLE_LAYOUTS = {
@@ -66,18 +66,14 @@ def load_delimited_tables(
     spark: SparkSession, paths: Mapping[str, str], layouts: Mapping[str, str]
 ) -> dict[str, DataFrame]:
     """Load delimited files into typed columnar tables, columns matched by name."""
-    return {
-        name: stage(read_delimited(spark, path, layouts[name]), f"loaded_{name}")
-        for name, path in paths.items()
-    }
+    return stage_all({name: read_delimited(spark, path, layouts[name]) for name, path in paths.items()})
 
 
 def export_tables(tables: Mapping[str, DataFrame], layouts: Mapping[str, str]) -> dict[str, str]:
     """Write tables as delimited files; returns where each one lies."""
-    paths = {}
-    for name, frame in tables.items():
-        paths[name] = new_location(frame.sparkSession, f"export_{name}")
-        write_delimited(typed(frame, layouts[name]), paths[name])
+    spark = next(iter(tables.values())).sparkSession
+    paths = {name: new_location(spark, f"export_{name}") for name in tables}
+    side_by_side(spark, lambda name: write_delimited(typed(tables[name], layouts[name]), paths[name]), tables)
     return paths
 
 

@@ -16,6 +16,9 @@ def test_every_oracle_has_a_query():
 @pytest.mark.parametrize("name", entry.queries())
 def test_query(spark, name):
     frame = entry.queries()[name](spark, FOLDER)
+    plan = frame._jdf.queryExecution().executedPlan().toString()
+    for unwanted in ("CartesianProduct", "BroadcastNestedLoopJoin", "EvalPython", "InPandas"):
+        assert unwanted not in plan
     if name in SQL:
         assert compare(frame, FOLDER, SQL[name]) == ""
     else:
