@@ -5,7 +5,8 @@ every row. Here each pass counts rows per value interval (combined before the sh
 only the intervals that hold a wanted rank are looked into again. The first pass cuts the
 number line so that every interval spans at most 1/256 of its magnitude; later passes cut
 linearly. Two passes settle billions of rows, three settle trillions, ties end at once.
-Only interval bounds of the wanted ranks reach the driver.
+At most 100,000 interval counts, or else only the intervals of wanted ranks,
+reach the driver.
 """
 
 from __future__ import annotations
@@ -16,8 +17,10 @@ from dataclasses import dataclass, replace
 
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
+from millrace.sources.staging import stage
+
 _SLOTS = 256  # intervals per power of two in the first pass
-_GATHERED_SLOTS = 20_000  # so few interval counts are looked through on the driver
+_GATHERED_SLOTS = 100_000  # so few interval counts are looked through on the driver
 _CUTS = 65536  # linear intervals in later passes
 _LIST_ROWS = 200_000  # an interval of so few rows is listed value by value
 _INTERVALS_PER_PASS = 100  # intervals refined by one scan
@@ -103,28 +106,23 @@ def order_statistics(
     slots = (
         values.groupBy("series", _magnitude_slot(F.col("value")).alias("slot"))
         .agg(F.count("*").alias("rows"), F.min("value").alias("low"), F.max("value").alias("high"))
-        .persist()
     )
-    try:
-        counts = slots.limit(_GATHERED_SLOTS + 1).collect()
-        few = len(counts) <= _GATHERED_SLOTS
-        if few:
-            sizes = _sizes(counts)
-        else:
-            sizes = _sizes(slots.groupBy("series").agg(F.sum("rows").alias("rows"))
-                           .limit(MAX_SERIES + 1).collect())
-        ranks = {s: sorted({k for k in ks if 1 <= k <= sizes[s]}) for s, ks in wanted(sizes).items()}
-        ranks = {s: ks for s, ks in ranks.items() if ks}
-        if not ranks:
-            return {}, sizes
-        hits = _local_hits(counts, ranks) if few else _hits(_running(slots, "series"), "series", ranks)
-        pending = [
-            _Interval(r.series, r.low, r.high, upto - r.rows, r.rows,
-                      tuple(k for k in ranks[r.series] if upto - r.rows < k <= upto))
-            for r, upto in hits
-        ]
-    finally:
-        slots.unpersist()
+    counts = slots.limit(_GATHERED_SLOTS + 1).collect()
+    few = len(counts) <= _GATHERED_SLOTS
+    if not few:
+        slots = stage(slots, "interval_counts")
+        counts = slots.groupBy("series").agg(F.sum("rows").alias("rows")).limit(MAX_SERIES + 1).collect()
+    sizes = _sizes(counts)
+    ranks = {s: sorted({k for k in ks if 1 <= k <= sizes[s]}) for s, ks in wanted(sizes).items()}
+    ranks = {s: ks for s, ks in ranks.items() if ks}
+    if not ranks:
+        return {}, sizes
+    hits = _local_hits(counts, ranks) if few else _hits(_running(slots, "series"), "series", ranks)
+    pending = [
+        _Interval(r.series, r.low, r.high, upto - r.rows, r.rows,
+                  tuple(k for k in ranks[r.series] if upto - r.rows < k <= upto))
+        for r, upto in hits
+    ]
     found: dict[tuple[str, int], _Found] = {}
     while True:
         unsettled = []

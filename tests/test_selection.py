@@ -51,6 +51,7 @@ def test_refines_in_several_passes(spark, monkeypatch):
     """Small limits force every kind of pass that trillions of rows would need."""
     monkeypatch.setattr(selection, "_LIST_ROWS", 3)
     monkeypatch.setattr(selection, "_CUTS", 4)
+    monkeypatch.setattr(selection, "_GATHERED_SLOTS", 2)
     rng = random.Random(5)
     values = [rng.gauss(1000, 1) for _ in range(2000)] + [1000.5] * 500
     got = exact_quantiles(_frame(spark, values), ["x"], [0.1, 0.5, 0.9])["x"]
