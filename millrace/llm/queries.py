@@ -8,6 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from millrace.llm.histogram_shards import histogram_shards
+from millrace.llm.nearest import nearest_neighbours
 from millrace.llm.token_file import read_token_file, write_token_file
 from millrace.llm.tokens import vocabulary
 from millrace.sources.staging import new_location
@@ -58,3 +59,19 @@ def op7_histogram_shards(spark: SparkSession, folder: str) -> DataFrame:
     return histogram_shards(sizes, F.col("size"), F.col("text_hash"), F.col("doc_id")).select(
         "doc_id", "size", "text_crc32", F.lit("bytes").alias("law"), F.col("shard").cast("int").alias("shard"),
         F.col("slot").cast("long").alias("slot"), F.lit(None).cast("int").alias("grown_shard"))
+
+
+@query("op9_nearest", """
+WITH v AS (SELECT vec_id, CAST(embedding AS DOUBLE[]) AS e FROM embeddings
+           WHERE vec_id IS NOT NULL AND embedding IS NOT NULL
+             AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0
+             AND len(list_filter(embedding, lambda x: x <> 0)) > 0),
+pairs AS (SELECT q.vec_id AS query_id, c.vec_id, sqrt(list_reduce(list_transform(
+          list_zip(q.e, c.e), lambda p: (p[1] - p[2]) * (p[1] - p[2])), lambda a, b: a + b)) AS score
+          FROM v q JOIN v c ON q.vec_id <> c.vec_id AND len(q.e) = len(c.e) WHERE q.vec_id % 100 = 0),
+ranked AS (SELECT *, row_number() OVER (PARTITION BY query_id ORDER BY score, vec_id) AS rank FROM pairs)
+SELECT query_id, CAST(rank AS INTEGER) AS rank, vec_id, score FROM ranked WHERE rank <= 10""")
+def op9_nearest(spark: SparkSession, folder: str) -> DataFrame:
+    """The ten nearest vectors of every hundredth one."""
+    vectors = table(spark, folder, "embeddings")
+    return nearest_neighbours(vectors.where("vec_id % 100 = 0"), vectors, "vec_id", "embedding", 10)
