@@ -8,6 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from millrace.llm.histogram_shards import histogram_shards
+from millrace.llm.language import predict, train, training_sample
 from millrace.llm.nearest import nearest_neighbours
 from millrace.llm.token_file import read_token_file, write_token_file
 from millrace.llm.tokens import vocabulary
@@ -48,6 +49,16 @@ def op1_token_file(spark: SparkSession, folder: str) -> DataFrame:
         "doc_id", "start", "n_tokens", F.crc32("ids").alias("ids_crc32"))
 
 
+@query("op3_language")
+def op3_language(spark: SparkSession, folder: str) -> DataFrame:
+    """The language of every document, learnt from those outside the held-out fold."""
+    documents = table(spark, folder, "documents")
+    held_out = F.coalesce(F.crc32(F.col("doc_id").cast("string").cast("binary")) % 4 == 2, F.lit(False))
+    model = train(training_sample(documents.where(~held_out)))
+    return predict(documents.select("doc_id", "text"), model).select(
+        "doc_id", held_out.alias("held_out"), "lang_pred", "score")
+
+
 @query("op7_histogram_shards")
 def op7_histogram_shards(spark: SparkSession, folder: str) -> DataFrame:
     """All documents in eight shards of near equal bytes, equal texts together where that allows it."""
