@@ -8,6 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from millrace.llm.histogram_shards import histogram_shards
+from millrace.llm.jaccard import near_copies
 from millrace.llm.language import predict, train, training_sample
 from millrace.llm.nearest import nearest_neighbours
 from millrace.llm.token_file import read_token_file, write_token_file
@@ -49,6 +50,26 @@ def op1_token_file(spark: SparkSession, folder: str) -> DataFrame:
         "doc_id", "start", "n_tokens", F.crc32("ids").alias("ids_crc32"))
 
 
+@query("op2_jaccard_join", r"""
+WITH RECURSIVE w AS (SELECT doc_id, regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ',
+             'abcdefghijklmnopqrstuvwxyz'), '[^\x20\x09-\x0D]+') AS words FROM documents),
+s AS (SELECT doc_id, CASE WHEN len(words) = 0 THEN [] WHEN len(words) < 4 THEN [array_to_string(words, ' ')]
+        ELSE list_distinct(list_transform(range(1, len(words) - 2), lambda i:
+          array_to_string(words[i:i + 3], ' '))) END AS shingles FROM w),
+n AS (SELECT doc_id, len(shingles) AS n_shingles FROM s),
+e AS (SELECT doc_id, unnest(shingles) AS shingle FROM s),
+common AS (SELECT a.doc_id AS x, b.doc_id AS y, count(*) AS met FROM e a JOIN e b USING (shingle)
+           WHERE a.doc_id <> b.doc_id GROUP BY ALL),
+links AS (SELECT x, y FROM common JOIN n p ON p.doc_id = x JOIN n q ON q.doc_id = y
+          WHERE 100 * met >= 85 * (p.n_shingles + q.n_shingles - met)),
+r(doc_id, other) AS (SELECT doc_id, doc_id FROM n UNION
+    SELECT r.doc_id, links.y FROM r JOIN links ON links.x = r.other)
+SELECT doc_id, n_shingles, min(other) AS component_id FROM n JOIN r USING (doc_id) GROUP BY doc_id, n_shingles""")
+def op2_jaccard_join(spark: SparkSession, folder: str) -> DataFrame:
+    """Groups of documents linked by a similarity of at least 0.85 over four-word shingles."""
+    return near_copies(table(spark, folder, "documents"), words=4, percent=85)
+
+
 @query("op3_language")
 def op3_language(spark: SparkSession, folder: str) -> DataFrame:
     """The language of every document, learnt from those outside the held-out fold."""
