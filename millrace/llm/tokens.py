@@ -18,7 +18,7 @@ import pyarrow as pa
 import pyarrow.compute as pc
 
 #: Parts that a worker remembers; about 200 bytes each.
-REMEMBERED = 800_000
+REMEMBERED = 600_000
 #: Stands between texts that are encoded together; no letter.
 BETWEEN = "\0"
 #: The id that ends each document.
