@@ -11,6 +11,7 @@ from millrace.llm.histogram_shards import histogram_shards
 from millrace.llm.jaccard import near_copies
 from millrace.llm.language import predict, train, training_sample
 from millrace.llm.nearest import nearest_neighbours
+from millrace.llm.packing import packed
 from millrace.llm.token_file import read_token_file, write_token_file
 from millrace.llm.tokens import vocabulary
 from millrace.sources.staging import new_location
@@ -107,3 +108,9 @@ def op9_nearest(spark: SparkSession, folder: str) -> DataFrame:
     """The ten nearest vectors of every hundredth one."""
     vectors = table(spark, folder, "embeddings")
     return nearest_neighbours(vectors.where("vec_id % 100 = 0"), vectors, "vec_id", "embedding", 10)
+
+
+@query("op10_packing")
+def op10_packing(spark: SparkSession, folder: str) -> DataFrame:
+    """All documents in sequences of at most 2048 tokens."""
+    return packed(table(spark, folder, "documents"), vocabulary("word_bpe_49k.json"), with_ids=False)
