@@ -12,6 +12,7 @@ from millrace.llm.jaccard import near_copies
 from millrace.llm.language import predict, train, training_sample
 from millrace.llm.nearest import nearest_neighbours
 from millrace.llm.packing import packed
+from millrace.llm.phrases import edited_fingerprints
 from millrace.llm.token_file import read_token_file, write_token_file
 from millrace.llm.tokens import vocabulary
 from millrace.sources.staging import new_location
@@ -81,6 +82,12 @@ def op3_language(spark: SparkSession, folder: str) -> DataFrame:
         "doc_id", held_out.alias("held_out"), "lang_pred", "score")
 
 
+@query("op6_fingerprints")
+def op6_fingerprints(spark: SparkSession, folder: str) -> DataFrame:
+    """Fingerprints of all documents and of their edited texts."""
+    return edited_fingerprints(table(spark, folder, "documents"))
+
+
 @query("op7_histogram_shards")
 def op7_histogram_shards(spark: SparkSession, folder: str) -> DataFrame:
     """All documents in eight shards of near equal bytes, equal texts together where that allows it."""
