@@ -12,6 +12,7 @@ from millrace.llm.jaccard import near_copies
 from millrace.llm.language import predict, train, training_sample
 from millrace.llm.nearest import nearest_neighbours
 from millrace.llm.packing import packed
+from millrace.llm.passages import repeated_passages
 from millrace.llm.phrases import edited_fingerprints
 from millrace.llm.token_file import read_token_file, write_token_file
 from millrace.llm.tokens import vocabulary
@@ -69,7 +70,8 @@ r(doc_id, other) AS (SELECT doc_id, doc_id FROM n UNION
 SELECT doc_id, n_shingles, min(other) AS component_id FROM n JOIN r USING (doc_id) GROUP BY doc_id, n_shingles""")
 def op2_jaccard_join(spark: SparkSession, folder: str) -> DataFrame:
     """Groups of documents linked by a similarity of at least 0.85 over four-word shingles."""
-    return near_copies(table(spark, folder, "documents"), words=4, percent=85)
+    groups = near_copies(table(spark, folder, "documents"), words=4, percent=85)
+    return groups.select("doc_id", "n_shingles", "component_id")
 
 
 @query("op3_language")
@@ -101,6 +103,12 @@ def op7_histogram_shards(spark: SparkSession, folder: str) -> DataFrame:
         F.col("slot").cast("long").alias("slot"), F.lit(None).cast("int").alias("grown_shard"))
 
 
+@query("op8_passages")
+def op8_passages(spark: SparkSession, folder: str) -> DataFrame:
+    """Passages of 50 words and more that an earlier document has too."""
+    return repeated_passages(table(spark, folder, "documents"))
+
+
 @query("op9_nearest", """
 WITH v AS (SELECT vec_id, CAST(embedding AS DOUBLE[]) AS e FROM embeddings
            WHERE vec_id IS NOT NULL AND embedding IS NOT NULL
