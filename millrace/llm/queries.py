@@ -7,6 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from millrace.llm.edits import with_counts, with_edits
 from millrace.llm.histogram_shards import histogram_shards
 from millrace.llm.jaccard import near_copies
 from millrace.llm.language import predict, train, training_sample
@@ -84,6 +85,27 @@ def op3_language(spark: SparkSession, folder: str) -> DataFrame:
         "doc_id", held_out.alias("held_out"), "lang_pred", "score")
 
 
+def edits_of(text: str = "text"):
+    """Three edits of a text: its middle goes, its beginning is put in, some of it is written again."""
+    n, piece = F.length(text), lambda a, size: F.substring(F.col(text), a, size)
+    edit = lambda start, end, new: F.struct(
+        start.cast("int").alias("start"), end.cast("int").alias("end"), new.alias("text"))
+    quarter = F.floor(n / 4)
+    return F.array(
+        edit(2 * quarter, 2 * quarter + 40, F.lit("")), edit(quarter, quarter, piece(F.lit(1), F.lit(25))),
+        edit(3 * quarter, 3 * quarter + 7, F.concat(F.lit(" "), piece((quarter + 1).cast("int"), F.lit(12)), F.lit("\n"))))
+
+
+@query("op4_edit_counts")
+def op4_edit_counts(spark: SparkSession, folder: str) -> DataFrame:
+    """Tokens of every document before and after three edits."""
+    path = vocabulary("byte_bpe_50k.json")
+    counted = with_counts(table(spark, folder, "documents").select("doc_id", "text"), path)
+    counted = counted.withColumns({"edits": edits_of(), "n_tokens_before": F.col("n_tokens")})
+    return with_edits(counted, "edits", path).select(
+        "doc_id", "n_tokens_before", "n_tokens", F.length("text").alias("n_chars"), "encoded_chars")
+
+
 @query("op6_fingerprints")
 def op6_fingerprints(spark: SparkSession, folder: str) -> DataFrame:
     """Fingerprints of all documents and of their edited texts."""

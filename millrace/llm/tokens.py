@@ -78,6 +78,7 @@ class TextEncoder:
         self.library.encode_special_tokens = True  # their strings are ordinary text here
         self.splitter = parts
         self.known: dict[str, bytes | bool] = {}  # False: can't be encoded by itself
+        self.counts: dict[str, int] = {}  # of texts between places where it always cuts
         self.marks = dict(zip(",.", self.library_ids([",", "."])))
         self.line = self.library_ids(["\n"])[0]
         self.skip = bool(parts.start)
@@ -128,6 +129,18 @@ class TextEncoder:
             known.update(islice(learnt.items(), REMEMBERED - len(known)))
         return learnt
 
+    def count(self, pieces: set[str]) -> dict[str, int]:
+        """Numbers of tokens of pieces that follow a cut, blank or line end included."""
+        parts = {p: p[1:] if p[:1] == " " else p for p in pieces if p[:1] in (" ", "\n")}
+        parts = {p: x for p, x in parts.items() if self.splitter.source(x) == p}
+        ids = self._learn(set(parts.values()))
+        out = {p: len(ids[x]) // 4 for p, x in parts.items() if ids[x] is not False}
+        rest = [p for p in pieces if p not in out]
+        out.update((p, len(x) // 4) for p, x in zip(rest, self.library_ids(rest)))
+        if len(self.counts) < REMEMBERED:
+            self.counts.update(islice(out.items(), REMEMBERED - len(self.counts)))
+        return out
+
     def encode(self, texts: pa.Array) -> tuple[np.ndarray, np.ndarray]:
         """Ids of all texts, and where each text's begin (one more than texts); null is empty."""
         texts = pc.fill_null(texts.cast(pa.large_string()), "")
