@@ -11,6 +11,7 @@ from millrace.llm.edits import with_counts, with_edits
 from millrace.llm.histogram_shards import histogram_shards
 from millrace.llm.jaccard import near_copies
 from millrace.llm.language import predict, train, training_sample
+from millrace.llm.lattice import decoded, encode
 from millrace.llm.nearest import nearest_neighbours
 from millrace.llm.packing import packed
 from millrace.llm.passages import repeated_passages
@@ -106,6 +107,15 @@ def op4_edit_counts(spark: SparkSession, folder: str) -> DataFrame:
         "doc_id", "n_tokens_before", "n_tokens", F.length("text").alias("n_chars"), "encoded_chars")
 
 
+@query("op5_lattice")
+def op5_lattice(spark: SparkSession, folder: str) -> DataFrame:
+    """Ids of every document by the pieces' lattice, and whether they decode to its text again."""
+    documents, path = table(spark, folder, "documents"), vocabulary("piece_bpe_32k.model")
+    again = F.xxhash64(decoded("ids", path)) == F.col("text_hash")
+    return encode(documents, path).select(
+        "doc_id", F.size("ids").alias("n_ids"), "ids", (again | (F.size("ids") == 0)).alias("round_trip"))
+
+
 @query("op6_fingerprints")
 def op6_fingerprints(spark: SparkSession, folder: str) -> DataFrame:
     """Fingerprints of all documents and of their edited texts."""
