@@ -16,7 +16,7 @@ _BLANK[[0x20, 0x09, 0x0A, 0x0B, 0x0C, 0x0D]] = True
 _BYTES[_BLANK] = 0
 _BYTES[ord("A"):ord("Z") + 1] = _BYTES[ord("a"):ord("z") + 1]  # the case of A-Z doesn't count
 #: Bytes of text that are worked on at once.
-AT_ONCE = 8 << 20
+AT_ONCE = 4 << 20
 
 
 def mixed(x: np.ndarray, seed: int = 0) -> np.ndarray:
