@@ -57,14 +57,16 @@ def danger_zones(readings: DataFrame, speed_step: int = 200, torque_step: int =
 def dispatch_queue(flagged: DataFrame) -> DataFrame:
     """Flagged machines with their rank by failure probability, highest first.
 
-    Probabilities carry three digits of percent, so they take at most 100,001 values. The
-    ranks are worked out on the counts of these values and joined back; ranking the rows
-    themselves would put all of them into one task. Equal probabilities share a rank.
+    Ranks are worked out on the counts of distinct probabilities and joined back; ranking the
+    rows themselves would put all of them into one task. Equal probabilities share a rank;
+    machines without a probability come last.
     """
     counts = flagged.groupBy("failure_probability").agg(F.count("*").alias("_rows"))
-    ahead = Window.orderBy(F.desc("failure_probability"))
+    ahead = Window.orderBy(F.desc_nulls_last("failure_probability"))
     ranks = counts.select(
-        "failure_probability",
+        F.col("failure_probability").alias("_probability"),
         (F.sum("_rows").over(ahead) - F.col("_rows") + 1).alias("queue_rank"))
-    return (flagged.join(F.broadcast(ranks), "failure_probability")
+    others = [c for c in flagged.columns if c != "failure_probability"]
+    return (flagged.join(ranks, F.col("failure_probability").eqNullSafe(F.col("_probability")))
+            .select("failure_probability", *others, "queue_rank")
             .orderBy(F.asc("queue_rank"), F.asc("machine_id")))

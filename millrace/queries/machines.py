@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+from pyspark.sql import Window
 from pyspark.sql import functions as F
 
 from millrace.functions.machine import (
@@ -68,11 +69,10 @@ def literal_machines(w):
 SELECT machine_type, dense_rank() OVER (ORDER BY machine_type)::INT - 1 AS type_code, rows FROM (
   SELECT machine_type, count(*) AS rows FROM {{readings}} GROUP BY ALL)""")
 def type_codes(w):
-    # A category is kept as text; its code is the place in sorted order.
+    # A category is kept as text; its code is the place in sorted order among the distinct values.
     counts = value_counts(w.readings, "machine_type")
-    known = sorted(r.machine_type for r in counts.select("machine_type").limit(1000).collect())
-    code = F.coalesce(*[F.when(F.col("machine_type") == v, F.lit(i)) for i, v in enumerate(known)])
-    return counts.select("machine_type", code.alias("type_code"), F.col("n").alias("rows"))
+    code = F.row_number().over(Window.orderBy("machine_type")) - 1
+    return counts.select("machine_type", code.cast("int").alias("type_code"), F.col("n").alias("rows"))
 
 
 @query("f11_temperature_difference", """
