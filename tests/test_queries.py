@@ -3,19 +3,20 @@
 import pytest
 
 import __spark_entry__ as entry
+from millrace import queries as tables
 from tests.compare import compare
 
 FOLDER = "/root/testdata/sf0.001"
-SQL = entry.oracle_sql()
+QUERIES, SQL = tables.registered(), tables.oracles()  # those on training text have tests of their own
 
 
 def test_every_oracle_has_a_query():
-    assert set(SQL) <= set(entry.queries())
+    assert set(entry.oracle_sql()) <= set(entry.queries())
 
 
-@pytest.mark.parametrize("name", entry.queries())
+@pytest.mark.parametrize("name", QUERIES)
 def test_query(spark, name):
-    frame = entry.queries()[name](spark, FOLDER)
+    frame = QUERIES[name](spark, FOLDER)
     plan = frame._jdf.queryExecution().executedPlan().toString()
     for unwanted in ("CartesianProduct", "BroadcastNestedLoopJoin", "EvalPython", "InPandas"):
         assert unwanted not in plan
