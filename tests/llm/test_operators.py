@@ -23,7 +23,7 @@ from millrace.llm.tokens import encoder, vocabulary
 
 FOLDER = "/root/testdata/sf0.001"
 ODD = ["", None, " a", "a  b", "x\n\ny\n", "a \n b", "don't 'tis I'LL x\t\ty", "<|endoftext|> a<|endoftext|>b", "\n",
-       "\n\nfoo", "tab\x1fx \x1f y", "é ́x", "\0a \0 b\0.", "a.", "word " * 3000, "x" * 5000]
+       "\n\nfoo", "tab\x1fx \x1f y", "é ́x", "\0a \0 b\0.", "a.", "word " * 3000, "x" * 600]
 SCHEMA = "doc_id long, text string, lang string, source string, n_chars long, id int, text_hash string, shard string"
 
 
