@@ -8,17 +8,28 @@ from pyspark.sql import DataFrame, functions as F
 
 BROADCAST_BYTES = 64 * 1024 * 1024
 HOT_SHARE = 1 / 1000
+SALTS = 256
 _VARIABLE = ("string", "binary")
+_NESTED = ("array<", "map<", "struct<")
+_SALT = "_salt"
+_UNKNOWN = 1 << 62
 
 
 def measured_bytes(frame: DataFrame) -> int:
-    """Size of the rows as counted from the data, not as estimated."""
-    fixed = sum(16 for _, kind in frame.dtypes if kind not in _VARIABLE)
-    text = [F.coalesce(F.octet_length(f"`{c}`"), F.lit(0)) + 24
-            for c, kind in frame.dtypes if kind in _VARIABLE]
-    row = F.lit(fixed)
-    for part in text:
-        row = row + part
+    """Size of the rows as counted from the data, not as estimated.
+
+    Nested values count eight times their length as JSON, which has two characters at least
+    for each number. Types of unknown size, such as vectors, give a size too large for any broadcast.
+    """
+    if any("vector" in kind or "matrix" in kind or "variant" in kind for _, kind in frame.dtypes):
+        return _UNKNOWN
+    nested = [c for c, kind in frame.dtypes if kind.startswith(_NESTED)]
+    texts = [c for c, kind in frame.dtypes if kind in _VARIABLE]
+    row = F.lit(16 * (len(frame.columns) - len(nested) - len(texts))).cast("long")
+    for c in texts:
+        row = row + F.coalesce(F.octet_length(f"`{c}`"), F.lit(0)) + 24
+    for c in nested:
+        row = row + 8 * F.octet_length(F.to_json(F.struct(F.col(f"`{c}`").alias("v"))))
     total = frame.agg(F.sum(row.cast("long"))).first()[0]
     return total or 0
 
@@ -54,9 +65,10 @@ def lookup_join(
     """``facts`` joined inner to ``lookup``, which has one row per key.
 
     A lookup table measured below ``broadcast_bytes`` (64 MB) is broadcast. A larger one is joined
-    by a shuffle, except for the fact keys so frequent that one partition would overflow:
-    there are at most 1/``hot_share`` of these, so their lookup rows are broadcast and their
-    fact rows stay where they are.
+    by one shuffle on the key and a salt. The salt is 0 but for frequent keys: their fact rows
+    are dealt out by a hash of the row, and their lookup rows, at most 1/``hot_share``, are
+    repeated for every salt. The facts are read once, so chained joins stay a chain. Complete
+    copies of a fact row share a salt; a partition that these make large is split at run time.
 
     ``key`` may give the two column names when they differ. ``size`` is the lookup's size
     in bytes where it is known, or any larger figure. ``hot_in`` names a cheaper table to
@@ -71,8 +83,8 @@ def lookup_join(
     hot = hot_keys(facts if hot_in is None else hot_in, left, hot_share)
     if not hot:
         return facts.join(lookup, left)
-    # A literal list filters at the scan on both sides.
     is_hot = F.col(left).isin(hot)
-    hot_part = facts.filter(is_hot).join(F.broadcast(lookup.filter(is_hot)), left)
-    cold_part = facts.filter(~is_hot).join(lookup.filter(~is_hot), left)
-    return hot_part.unionByName(cold_part)
+    plain = [F.col(f"`{c}`") for c, kind in facts.dtypes if "map<" not in kind and "variant" not in kind]
+    dealt = facts.withColumn(_SALT, F.when(is_hot, F.pmod(F.xxhash64(*plain), F.lit(SALTS)).cast("int")).otherwise(0))
+    salts = F.when(is_hot, F.sequence(F.lit(0), F.lit(SALTS - 1))).otherwise(F.array(F.lit(0)))
+    return dealt.join(lookup.withColumn(_SALT, F.explode(salts)), [left, _SALT]).drop(_SALT)
