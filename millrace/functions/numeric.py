@@ -17,8 +17,8 @@ def round_half_even(value: Column, digits: int) -> Column:
 
 
 def clip(value: Column, low: float, high: float) -> Column:
-    """Bound a value; null stays null (greatest() alone would return the bound)."""
-    return F.when(value.isNotNull(), F.least(F.greatest(value, F.lit(low)), F.lit(high)))
+    """Bound a value; null and NaN give null (greatest() alone would return a bound)."""
+    return F.when(value.isNotNull() & ~F.isnan(value.cast("double")), F.least(F.greatest(value, F.lit(low)), F.lit(high)))
 
 
 def safe_ratio(numerator: Column, denominator: Column) -> Column:

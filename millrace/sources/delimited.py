@@ -2,9 +2,12 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession, types as T
+from pyspark.sql import DataFrame, SparkSession, functions as F, types as T
 
 LATIN_1 = "ISO-8859-1"
+# Texts that stand for a missing value in delimited files.
+MISSING_TOKENS = ["", "#N/A", "#N/A N/A", "#NA", "-1.#IND", "-1.#QNAN", "-NaN", "-nan", "1.#IND", "1.#QNAN",
+                  "<NA>", "N/A", "NA", "NULL", "NaN", "None", "n/a", "nan", "null"]
 
 
 def read_delimited(
@@ -27,12 +30,17 @@ def read_delimited(
 def read_delimited_text(
     spark: SparkSession, path: str, encoding: str = "UTF-8", separator: str = ","
 ) -> DataFrame:
-    """Scan with the header's names and every column as text; types follow by name."""
-    return (
+    """Scan with the header's names and every column as text; types follow by name.
+
+    Texts that stand for a missing value are null, so none becomes a NaN when types follow.
+    """
+    rows = (
         spark.read.option("header", True).option("inferSchema", False)
         .option("encoding", encoding).option("sep", separator)
         .option("quote", '"').option("escape", '"').csv(path)
     )
+    names = [F.col(f"`{c}`") for c in rows.columns]
+    return rows.select(*[F.when(~c.isin(MISSING_TOKENS), c).alias(n) for c, n in zip(names, rows.columns)])
 
 
 def write_delimited(

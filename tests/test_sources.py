@@ -52,3 +52,15 @@ def test_wide_keys_only_widen_identifiers():
 def test_named_view(spark):
     spark.range(3).createOrReplaceTempView("three_rows")
     assert tables.named_table(spark, "three_rows").count() == 3
+
+
+def test_missing_texts_never_become_numbers(spark, tmp_path):
+    from millrace.functions.numeric import clip
+    from millrace.sources.delimited import read_delimited_text
+
+    with open(tmp_path / "rows.csv", "w") as out:
+        out.write("a,b\n1.5,x\nNaN,N/A\nN/A,y\n,null\n")
+    rows = read_delimited_text(spark, str(tmp_path / "rows.csv"))
+    got = rows.select(clip(F.col("a").cast("double"), 0.0, 1.0).alias("a"), "b").collect()
+    assert [tuple(r) for r in got] == [(1.0, "x"), (None, None), (None, "y"), (None, None)]
+    assert spark.range(1).select(clip(F.lit(float("nan")), 0.0, 9.0).alias("c")).first().c is None
