@@ -40,13 +40,14 @@ def prepare_rows(
 
     ``encoding`` is "indicators" (one 0/1 feature per category value) or "indexed" (one
     nominal feature per column: far smaller rows, for large tables). Categories are learnt
-    from all rows, before the split. A row number stored with the rows tells complete
-    copies apart and pairs the predictions of two models.
+    from all rows, before the split. A row's id is a hash of its values and nulls, so split and
+    folds are the same however the view is stored; only complete copies share an id.
     """
     numbers = [c for c in view.columns if c not in CATEGORIES and c != LABEL]
     fit = {"indicators": fit_feature_encoder, "indexed": fit_index_encoder}[encoding]
     encoder = fit(view, CATEGORIES, numbers)
-    numbered = view.withColumn(ROW, F.monotonically_increasing_id())
+    values = [v for c in view.columns for v in (F.col(c), F.col(c).isNull())]
+    numbered = view.withColumn(ROW, F.xxhash64(*values))
     encoded = stage(encoder.apply(numbered, [ROW], LABEL), "encoded_rows")
     train, vault = holdout_split(encoded, share, seed, [ROW])
     parts = stage_all({"train_rows": train, "vault_rows": vault})

@@ -77,3 +77,13 @@ def test_vault_split(spark):
     train, test, vault = vault_split(rows, "y", key=["id"])
     assert (train.count(), test.count(), vault.count()) == (640, 160, 200)
     assert len(set(_ids(train)) | set(_ids(test)) | set(_ids(vault))) == 1000
+
+
+def test_prepared_rows_do_not_depend_on_storage(spark):
+    from millrace.operators.features import CATEGORIES, LABEL
+    from millrace.plans.delivery import prepare_rows
+
+    names = [F.concat(F.lit(f"{c}-"), F.col("id") % 5).alias(c) for c in CATEGORIES]
+    view = spark.range(1000).select(*names, (F.col("id") / 7).alias("product_price"), (F.col("id") % 9).alias(LABEL))
+    held = [sorted(r.row_id for r in prepare_rows(view.repartition(n)).vault.collect()) for n in (1, 3)]
+    assert held[0] == held[1] and len(held[0]) == 200
