@@ -213,9 +213,8 @@ SELECT f.order_id, f.order_item_id, f.item_quantity, f.order_item_total, f.produ
   FROM {{orders_distinct}}) f""")
 def paired_rows(w):
     # The price travels with the row until the quantity is known; no positional pairing.
-    rows = lookup_join(w.star.orders, w.star.products.select("product_card_id", "product_price"),
-                       "product_card_id", size=w.star.sizes["products"])
-    return rows.select(*_KEYS, "item_quantity", "order_item_total", "product_price")
+    quantity = item_quantity(F.col("order_item_total"), F.col("product_price"))
+    return w.star.distinct.select(*_KEYS, quantity.alias("item_quantity"), "order_item_total", "product_price")
 
 
 @query("j6_orphan_rows", """
