@@ -23,11 +23,14 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from millrace.llm.tokens import encoder
+from millrace.llm.words import in_slices
 
 #: Pre-tokens of a block, and how many times as many it may grow to before the tree is built anew.
 BLOCK, GROWTH = 32, 4
 _CUT = re.compile(r"(?<=\S)(?=[ \n]\S)")
 TREE = "struct<chars:array<int>,tokens:array<int>>"
+_LISTS = pa.struct([("chars", pa.list_(pa.int32())), ("tokens", pa.list_(pa.int32()))])
+_DONE = pa.struct([("text", pa.string()), ("tree", _LISTS), ("n_tokens", pa.int64()), ("encoded_chars", pa.int64())])
 _COUNTED = f"struct<text:string,tree:{TREE},n_tokens:bigint,encoded_chars:bigint>"
 
 
@@ -119,6 +122,9 @@ def with_counts(documents: DataFrame, vocabulary_path: str) -> DataFrame:
 
     def build(texts: pa.Array) -> pa.Array:
         counter = Counter(vocabulary_path)
+        return pa.concat_arrays([pa.array([], _LISTS), *[sliced(counter, part) for _, part in in_slices(texts)]])
+
+    def sliced(counter: Counter, texts: pa.Array) -> pa.Array:
         split = [_CUT.split(t) if t else [] for t in texts.to_pylist()]
         counts = counter.tokens([p for pieces in split for p in pieces])
         rows, at = [], 0
@@ -126,7 +132,7 @@ def with_counts(documents: DataFrame, vocabulary_path: str) -> DataFrame:
             tree = Tree.over(*counter.blocks(pieces, counts[at:at + len(pieces)]))
             at += len(pieces)
             rows.append({"chars": tree.chars, "tokens": tree.tokens})
-        return pa.array(rows, pa.struct([("chars", pa.list_(pa.int32())), ("tokens", pa.list_(pa.int32()))]))
+        return pa.array(rows, _LISTS)
 
     counted = documents.withColumn("tree", F.arrow_udf(build, TREE)("text"))
     return counted.withColumn("n_tokens", F.col("tree.tokens")[1].cast("long"))
@@ -137,7 +143,13 @@ def with_edits(counted: DataFrame, edits: str, vocabulary_path: str) -> DataFram
     (start, end, text), and encoded_chars, the characters that had to be encoded for it."""
 
     def apply(texts: pa.Array, trees: pa.Array, changes: pa.Array) -> pa.Array:
-        counter, rows = Counter(vocabulary_path), []
+        counter = Counter(vocabulary_path)
+        return pa.concat_arrays([pa.array([], _DONE), *[
+            sliced(counter, part, trees.slice(lo, len(part)), changes.slice(lo, len(part)))
+            for lo, part in in_slices(texts)]])
+
+    def sliced(counter: Counter, texts: pa.Array, trees: pa.Array, changes: pa.Array) -> pa.Array:
+        rows = []
         for text, tree, some in zip(texts.to_pylist(), trees.to_pylist(), changes.to_pylist()):
             now, read, text = Tree(tree["chars"], tree["tokens"]), 0, text or ""
             for e in some or []:
@@ -148,9 +160,7 @@ def with_edits(counted: DataFrame, edits: str, vocabulary_path: str) -> DataFram
                     read += seen
             rows.append({"text": text, "tree": {"chars": now.chars, "tokens": now.tokens},
                          "n_tokens": now.tokens[1], "encoded_chars": read})
-        lists = pa.struct([("chars", pa.list_(pa.int32())), ("tokens", pa.list_(pa.int32()))])
-        return pa.array(rows, pa.struct([("text", pa.string()), ("tree", lists), ("n_tokens", pa.int64()),
-                                         ("encoded_chars", pa.int64())]))
+        return pa.array(rows, _DONE)
 
     done = counted.withColumn("_done", F.arrow_udf(apply, _COUNTED)("text", "tree", edits))
     return done.withColumns({c: F.col(f"_done.{c}") for c in ("text", "tree", "n_tokens", "encoded_chars")}).drop("_done")
