@@ -93,19 +93,29 @@ def delimited_sink(w):
     return rows.select(*_KEYS, "order_profit_capped", "profit_margin", "delivery_variance_days")
 
 
-@query("s10_schema_report", """
-SELECT * FROM (VALUES ('order_id', 'bigint'), ('customer_state', 'string'), ('order_item_total', 'double'),
-  ('days_for_shipping_(real)', 'int'), ('product_description', 'string')) t(column_name, data_type)
-JOIN (SELECT 'order_id' AS column_name, count(order_id) AS non_null FROM {{extract}}
-  UNION ALL SELECT 'customer_state', count(customer_state) FROM {{extract}}
-  UNION ALL SELECT 'order_item_total', count(order_item_total) FROM {{extract}}
-  UNION ALL SELECT 'days_for_shipping_(real)', count(days_for_shipping_real) FROM {{extract}}
-  UNION ALL SELECT 'product_description', count(product_description) FROM {{extract}}) USING (column_name)""")
+# The columns of the extract after renaming; dates come as text.
+_EXTRACT_TYPES = {
+    "order_id": "bigint", "order_item_id": "bigint", "customer_id": "bigint", "customer_segment": "string",
+    "customer_city": "string", "customer_state": "string", "customer_country": "string",
+    "order_country": "string", "customer_zipcode": "string", "product_card_id": "bigint",
+    "product_category_id": "bigint", "category_name": "string", "product_name": "string",
+    "product_price": "double", "department_id": "bigint", "department_name": "string",
+    "shipping_mode": "string", "order_date_(dateorders)": "string",
+    "shipping_date_(dateorders)": "string", "days_for_shipping_(real)": "int", "days_for_shipment_(scheduled)": "int", "order_item_total": "double",
+    "order_profit_per_order": "double", "product_description": "string"}
+
+
+def _each_column(select: str) -> str:
+    """``select`` once for each column of the extract: {name} as in Spark, {column} as in the SQL."""
+    return "\nUNION ALL ".join(
+        select.format(name=name, kind=kind, column=name.replace("_(dateorders)", "").replace("(", "").replace(")", ""))
+        for name, kind in _EXTRACT_TYPES.items())
+
+
+@query("s10_schema_report", _each_column(
+    "SELECT '{name}' AS column_name, '{kind}' AS data_type, count({column}) AS non_null FROM {{{{extract}}}}"))
 def describe_schema(w):
-    rows = rename_all(w.extract, spaced_name)
-    return schema_report(rows.select(
-        "order_id", "customer_state", "order_item_total", "days_for_shipping_(real)",
-        "product_description"))
+    return schema_report(rename_all(w.extract, spaced_name))
 
 
 @query("s11_catalog_views", """
@@ -195,18 +205,13 @@ def inserted_column(w):
     return rows.select("udi", "machine_id", "temp_difference_k")
 
 
-@query("p9_mostly_null_columns", """
-SELECT column_name, rows, missing FROM (
-  SELECT 'order_country' AS column_name, count(*) AS rows, count(*) - count(order_country) AS missing FROM {{extract}}
-  UNION ALL SELECT 'order_item_total', count(*), count(*) - count(order_item_total) FROM {{extract}}
-  UNION ALL SELECT 'product_description', count(*), count(*) - count(product_description) FROM {{extract}})
-WHERE NOT (missing > 0 AND missing / rows >= 0.8)""")
+@query("p9_mostly_null_columns", "SELECT column_name, rows, missing FROM (" + _each_column(
+    "SELECT '{name}' AS column_name, count(*) AS rows, count(*) - count({column}) AS missing FROM {{{{extract}}}}")
+    + ") WHERE NOT (missing > 0 AND missing / rows >= 0.8)")
 def without_mostly_null(w):
-    rows = rename_all(w.extract, spaced_name).select(
-        "order_country", "order_item_total", "product_description")
-    kept = drop_mostly_null(rows)
+    kept = drop_mostly_null(rename_all(w.extract, spaced_name))
     nulls = [F.struct(F.lit(c).alias("column_name"), F.count("*").alias("rows"),
-                      F.count_if(F.col(c).isNull()).alias("missing")) for c in kept.columns]
+                      F.count_if(F.col(f"`{c}`").isNull()).alias("missing")) for c in kept.columns]
     return kept.agg(F.array(*nulls).alias("rows")).select(F.inline("rows"))
 
 
@@ -285,16 +290,11 @@ def rounding(w):
                        round_half_even(F.col("order_profit_per_order"), 2).alias("profit_2"))
 
 
-@query("a7_null_profile", """
-SELECT 'order_country' AS column_name, count(*) - count(order_country) AS null_count,
-  (count(*) - count(order_country)) / count(*) AS null_ratio FROM {{extract}}
-UNION ALL SELECT 'order_item_total', count(*) - count(order_item_total),
-  (count(*) - count(order_item_total)) / count(*) FROM {{extract}}
-UNION ALL SELECT 'product_description', count(*) - count(product_description),
-  (count(*) - count(product_description)) / count(*) FROM {{extract}}""")
+@query("a7_null_profile", _each_column(
+    "SELECT '{name}' AS column_name, count(*) - count({column}) AS null_count, "
+    "(count(*) - count({column})) / count(*) AS null_ratio FROM {{{{extract}}}}"))
 def nulls(w):
-    rows = rename_all(w.extract, spaced_name)
-    return null_profile(rows.select("order_country", "order_item_total", "product_description"))
+    return null_profile(rename_all(w.extract, spaced_name))
 
 
 @query("a19_row_lineage", """

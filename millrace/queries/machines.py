@@ -82,19 +82,19 @@ def stress(w):
         F.col("process_temperature_k"), F.col("air_temperature_k")).alias("temp_difference_k"))
 
 
-@query("f14_mean_imputation", f"""
-SELECT udi, {_r('torque_nm')} AS torque_nm FROM {{{{imputed}}}}""")
-def imputed_torque(w):
-    rows = telemetry_names(w.telemetry_raw).select("udi", "torque_nm")
-    return _rounded(fit_imputation(rows, ["torque_nm"]).apply(rows), 6, "torque_nm")
+@query("f14_mean_imputation", "SELECT udi, " + ", ".join(
+    f"{_r(f'{c}::DOUBLE')} AS {c}" for c in MEASURES) + " FROM {{imputed}}")
+def imputed_by_mean(w):
+    rows = telemetry_names(w.telemetry_raw).select("udi", *MEASURES)
+    return _rounded(fit_imputation(rows, MEASURES).apply(rows), 6, *MEASURES)
 
 
-@query("f14_median_imputation", """
-SELECT udi, coalesce(torque_nm, (SELECT quantile_cont(torque_nm, 0.5) FROM {{recorded}})) AS torque_nm
-FROM {{recorded}}""")
+@query("f14_median_imputation", "SELECT udi, " + ", ".join(
+    f"coalesce({c}::DOUBLE, (SELECT quantile_cont({c}::DOUBLE, 0.5) FROM {{{{recorded}}}})) AS {c}"
+    for c in MEASURES) + " FROM {{recorded}}")
 def imputed_by_median(w):
-    rows = telemetry_names(w.telemetry_raw).select("udi", "torque_nm")
-    return fit_imputation(rows, ["torque_nm"], "median").apply(rows)
+    rows = telemetry_names(w.telemetry_raw).select("udi", *MEASURES)
+    return fit_imputation(rows, MEASURES, "median").apply(rows)
 
 
 def _fence_sql(upper: str) -> str:
