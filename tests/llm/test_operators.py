@@ -206,6 +206,31 @@ def test_repeated_passages(spark):
     assert all(len(cut[k].split()) == len(texts[k].split()) - len(v) for k, v in found.items())
 
 
+def fresh(n, mark):
+    return [f"{mark}{i}" for i in range(n)]
+
+
+@pytest.fixture(scope="module")
+def two_shared(spark):
+    """Pairs of texts that share two passages, of so many words and so many own words between."""
+    rows, places = [], {}
+    for k, (n, own) in enumerate([(60, 35), (60, 60), (60, 100), (300, 100)]):
+        one, two = fresh(n, f"a{k}x"), fresh(n, f"b{k}x")
+        for i in (2 * k, 2 * k + 1):
+            rows.append((i, " ".join([*fresh(30, f"p{i}x"), *one, *fresh(own, f"q{i}x"), *two, *fresh(30, f"r{i}x")])))
+        places[2 * k + 1] = [(30, 30 + n), (30 + n + own, 30 + 2 * n + own)]
+    return spark.createDataFrame(rows, "doc_id long, text string"), places
+
+
+def test_two_passages_of_one_pair(two_shared):
+    docs, places = two_shared
+    found = {}
+    for r in passages.repeated_passages(docs).collect():
+        assert (r.source_id, r.source_first_word, r.source_end_word) == (r.doc_id - 1, r.first_word, r.end_word)
+        found.setdefault(r.doc_id, []).append((r.first_word, r.end_word))
+    assert {k: sorted(v) for k, v in found.items()} == places
+
+
 def test_chains_leave_the_line_for_no_outlier():
     best = passages.chains(np.array([0, 9, 18, 27]), np.array([100, 109, 5, 127]))
     assert sorted(map(len, best)) == [1, 3]
