@@ -231,6 +231,19 @@ def test_two_passages_of_one_pair(two_shared):
     assert {k: sorted(v) for k, v in found.items()} == places
 
 
+def test_own_words_between_passages_stay(two_shared):
+    docs, places = two_shared
+    cut = {r.doc_id: r.text.split() for r in passages.without_repeats(docs).collect()}
+    for r in docs.collect():
+        gone = {i for lo, hi in places.get(r.doc_id, []) for i in range(lo, hi)}
+        assert cut[r.doc_id] == [w for i, w in enumerate(r.text.split()) if i not in gone]
+
+
+def test_no_passage_holds_seven_other_words_in_a_row():
+    at = np.concatenate([np.arange(300), np.arange(306, 600), np.arange(607, 900)])  # gaps of 6 and 7 words
+    assert sorted(passages.segments(at, at, 50, 0.8)) == [(0, 600, 0, 600, 594), (607, 900, 607, 900, 293)]
+
+
 def test_chains_leave_the_line_for_no_outlier():
     best = passages.chains(np.array([0, 9, 18, 27]), np.array([100, 109, 5, 127]))
     assert sorted(map(len, best)) == [1, 3]
