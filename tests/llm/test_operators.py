@@ -244,6 +244,37 @@ def test_no_passage_holds_seven_other_words_in_a_row():
     assert sorted(passages.segments(at, at, 50, 0.8)) == [(0, 600, 0, 600, 594), (607, 900, 607, 900, 293)]
 
 
+def changed(words, rng, substituted, inserted, deleted):
+    words = list(words)
+    for i in rng.sample(range(len(words)), substituted):
+        words[i] = f"s{rng.random()}"
+    for _ in range(inserted):
+        words.insert(rng.randrange(1, len(words)), f"i{rng.random()}")
+    for _ in range(deleted):
+        del words[rng.randrange(1, len(words) - 1)]
+    return words
+
+
+EDITS = {(5, 0, 0): 100, (6, 0, 0): 100, (9, 0, 0): 97, (3, 1, 1): 100, (0, 3, 3): 100, (4, 2, 2): 97, (12, 0, 0): 95}
+
+
+def test_recall_of_changed_passages(spark):
+    """Least number of 100 passages of 60 words found after substitutions, insertions and deletions."""
+    rng, rows, kinds = random.Random(5), [], {}
+    for kind in EDITS:
+        for _ in range(100):
+            i = len(rows)
+            passage = fresh(60, f"a{i}x")
+            for k, words in ((i, passage), (i + 1, changed(passage, rng, *kind))):
+                rows.append((k, " ".join([*fresh(40, f"p{k}x"), *words, *fresh(40, f"q{k}x")])))
+            kinds[i + 1] = kind
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    found = {(r.doc_id, r.source_id) for r in passages.repeated_passages(docs).collect()}
+    recall = {kind: sum((k, k - 1) in found for k, x in kinds.items() if x == kind) for kind in EDITS}
+    print(recall)
+    assert all(recall[kind] >= least for kind, least in EDITS.items()), recall
+
+
 def test_chains_leave_the_line_for_no_outlier():
     best = passages.chains(np.array([0, 9, 18, 27]), np.array([100, 109, 5, 127]))
     assert sorted(map(len, best)) == [1, 3]
