@@ -275,6 +275,19 @@ def test_recall_of_changed_passages(spark):
     assert all(recall[kind] >= least for kind, least in EDITS.items()), recall
 
 
+def test_passages_of_fragments_seen_before(spark):
+    """A passage of two documents whose parts occur earlier, each in another."""
+    rows = []
+    for t in range(40):
+        one, two = fresh(30, f"a{t}x"), fresh(30, f"b{t}x")
+        for k, words in enumerate([one, two, [*one, *two], [*one, *two]]):
+            i = 4 * t + k
+            rows.append((i, " ".join([*fresh(20, f"p{i}x"), *words, *fresh(20, f"q{i}x")])))
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    found = [(r.doc_id, r.first_word, r.end_word, r.source_id) for r in passages.repeated_passages(docs).collect()]
+    assert sorted(found) == [(4 * t + 3, 20, 80, 4 * t + 2) for t in range(40)]
+
+
 def test_chains_leave_the_line_for_no_outlier():
     best = passages.chains(np.array([0, 9, 18, 27]), np.array([100, 109, 5, 127]))
     assert sorted(map(len, best)) == [1, 3]
