@@ -139,11 +139,9 @@ def cut_pieces(documents: DataFrame, vocabulary_path: str, tokens: int) -> DataF
     return rows.mapInArrow(cut, _PIECES)
 
 
-def packed(documents: DataFrame, vocabulary_path: str, limits: Capacity = Capacity(), with_ids: bool = True) -> DataFrame:
+def packed(documents: DataFrame, vocabulary_path: str, limits: Capacity = Capacity()) -> DataFrame:
     """doc_id, piece, start, length, ids_crc32, sequence_id, offset, and the ids, of every piece."""
-    pieces = cut_pieces(documents, vocabulary_path, limits.tokens)
-    pieces = pieces.withColumn("ids_crc32", F.crc32("ids"))
-    pieces = stage(pieces if with_ids else pieces.drop("ids"), "pieces")
+    pieces = stage(cut_pieces(documents, vocabulary_path, limits.tokens), "pieces")
     counts = stage(pieces.groupBy("length", "part").agg(F.count("*").alias("n")), "piece-counts")
     totals = counts.groupBy("length").agg(F.sum("n").alias("n")).collect()  # at most one row a length
     steps = plan({r.length: r.n for r in totals}, limits)
@@ -156,5 +154,6 @@ def packed(documents: DataFrame, vocabulary_path: str, limits: Capacity = Capaci
         return pa.StructArray.from_arrays([pa.array(sequence), pa.array(offset)], names=["sequence_id", "offset"])
 
     find = F.arrow_udf(place, "sequence_id long, offset long")
-    names = ["doc_id", "piece", "start", "length", "ids_crc32", "_place.sequence_id", "_place.offset"]
-    return ranked.withColumn("_place", find("length", "rank")).select(*names, *(["ids"] if with_ids else []))
+    return ranked.withColumn("_place", find("length", "rank")).select(
+        "doc_id", "piece", "start", "length", F.crc32("ids").alias("ids_crc32"),
+        "_place.sequence_id", "_place.offset", "ids")

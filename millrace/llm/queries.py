@@ -8,7 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from millrace.llm.edits import with_counts, with_edits
-from millrace.llm.histogram_shards import histogram_shards
+from millrace.llm.histogram_shards import histogram_shards, write_shards
 from millrace.llm.jaccard import near_copies
 from millrace.llm.language import predict, train, training_sample
 from millrace.llm.lattice import decoded, encode
@@ -124,15 +124,16 @@ def op6_fingerprints(spark: SparkSession, folder: str) -> DataFrame:
 
 @query("op7_histogram_shards")
 def op7_histogram_shards(spark: SparkSession, folder: str) -> DataFrame:
-    """All documents in eight shards of near equal bytes, equal texts together where that allows it."""
-    text = F.col("text")
-    sizes = table(spark, folder, "documents").select(
-        F.col("doc_id").cast("long").alias("doc_id"),
-        (F.coalesce(F.octet_length(text), F.lit(0)) + 1).cast("long").alias("size"),
-        F.crc32(F.coalesce(text, F.lit("")).cast("binary")).alias("text_crc32"), F.xxhash64(text).alias("text_hash"))
-    return histogram_shards(sizes, F.col("size"), F.col("text_hash"), F.col("doc_id")).select(
-        "doc_id", "size", "text_crc32", F.lit("bytes").alias("law"), F.col("shard").cast("int").alias("shard"),
-        F.col("slot").cast("long").alias("slot"), F.lit(None).cast("int").alias("grown_shard"))
+    """All documents, written in eight shards of near equal bytes and read back; equal texts together where that allows it."""
+    text, path = F.col("text"), new_location(spark, "shards")
+    size = (F.coalesce(F.octet_length(text), F.lit(0)) + 1).cast("long")
+    sharded = histogram_shards(table(spark, folder, "documents"), size, text, F.col("doc_id").cast("long"))
+    write_shards(sharded, path)
+    return spark.read.schema(sharded.schema).parquet(path).select(
+        F.col("doc_id").cast("long").alias("doc_id"), size.alias("size"),
+        F.crc32(F.coalesce(text, F.lit("")).cast("binary")).alias("text_crc32"), F.lit("bytes").alias("law"),
+        F.col("shard").cast("int").alias("shard"), F.col("slot").cast("long").alias("slot"),
+        F.lit(None).cast("int").alias("grown_shard"))
 
 
 @query("op8_passages")
@@ -160,4 +161,4 @@ def op9_nearest(spark: SparkSession, folder: str) -> DataFrame:
 @query("op10_packing")
 def op10_packing(spark: SparkSession, folder: str) -> DataFrame:
     """All documents in sequences of at most 2048 tokens."""
-    return packed(table(spark, folder, "documents"), vocabulary("word_bpe_49k.json"), with_ids=False)
+    return packed(table(spark, folder, "documents"), vocabulary("word_bpe_49k.json")).drop("ids")

@@ -11,7 +11,7 @@ import pytest
 import sentencepiece
 from pyspark.sql import functions as F
 
-from millrace.llm import jaccard, lattice, packing, passages, phrases
+from millrace.llm import jaccard, lattice, packing, passages, phrases, queries
 from millrace.llm.addressable import Addressable, pack
 from millrace.llm.edits import Counter
 from millrace.llm.histogram_shards import histogram_shards, write_shards
@@ -183,6 +183,20 @@ def test_shards_of_one_hot_group(spark, tmp_path):
     assert spark.read.parquet(str(tmp_path / "s")).count() == 3000
 
 
+def test_outputs_hold_whole_documents(spark, texts, monkeypatch):
+    """op7's shards have the texts, and op10's stored pieces the ids."""
+    written = []
+    monkeypatch.setattr(queries, "write_shards", lambda out, path: (written.append(path), write_shards(out, path)))
+    rows = registered()["op7_histogram_shards"](spark, FOLDER).collect()
+    back = spark.read.parquet(written[0]).select("doc_id", "text", "shard", "slot").collect()
+    assert {r.doc_id: r.text for r in back} == texts
+    assert sorted((r.doc_id, r.shard, r.slot) for r in back) == sorted((r.doc_id, r.shard, r.slot) for r in rows)
+    stored = []
+    monkeypatch.setattr(packing, "stage", lambda frame, label, stage=packing.stage: stored.append(stage(frame, label)) or stored[-1])
+    crc = {(r.doc_id, r.piece): r.ids_crc32 for r in registered()["op10_packing"](spark, FOLDER).collect()}
+    assert {(r.doc_id, r.piece): zlib.crc32(r.ids) for r in stored[0].collect()} == crc
+
+
 def test_repeated_passages(spark):
     docs = spark.read.parquet("/root/testdata/sf0.01/documents.parquet")
     texts = {r.doc_id: r.text for r in docs.collect()}
