@@ -12,6 +12,8 @@ from millrace.llm.histogram_shards import histogram_shards, write_shards
 from millrace.llm.jaccard import near_copies
 from millrace.llm.language import predict, train, training_sample
 from millrace.llm.lattice import decoded, encode
+from millrace.llm.manifest import proofs
+from millrace.llm.manifest_sql import manifest_sql
 from millrace.llm.nearest import nearest_neighbours
 from millrace.llm.packing import packed
 from millrace.llm.passages import repeated_passages
@@ -162,3 +164,9 @@ def op9_nearest(spark: SparkSession, folder: str) -> DataFrame:
 def op10_packing(spark: SparkSession, folder: str) -> DataFrame:
     """All documents in sequences of at most 2048 tokens."""
     return packed(table(spark, folder, "documents"), vocabulary("word_bpe_49k.json")).drop("ids")
+
+
+@query("op13_manifest", manifest_sql())
+def op13_manifest(spark: SparkSession, folder: str) -> DataFrame:
+    """Leaf, roots and proof of every document, and whether it still leads to the root when tampered with."""
+    return proofs(table(spark, folder, "documents"))
