@@ -7,6 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from millrace.llm.class_model import class_scores
 from millrace.llm.edits import with_counts, with_edits
 from millrace.llm.histogram_shards import histogram_shards, write_shards
 from millrace.llm.jaccard import near_copies
@@ -17,6 +18,7 @@ from millrace.llm.manifest_sql import manifest_sql
 from millrace.llm.nearest import nearest_neighbours
 from millrace.llm.packing import packed
 from millrace.llm.passages import repeated_passages
+from millrace.llm.periodic import word_runs
 from millrace.llm.phrases import edited_fingerprints
 from millrace.llm.token_file import read_token_file, write_token_file
 from millrace.llm.tokens import vocabulary
@@ -166,6 +168,19 @@ def op10_packing(spark: SparkSession, folder: str) -> DataFrame:
     return packed(table(spark, folder, "documents"), vocabulary("word_bpe_49k.json")).drop("ids")
 
 
+@query("op11_class_scores")
+def op11_class_scores(spark: SparkSession, folder: str) -> DataFrame:
+    """Scores of all documents by a class model of those outside the held-out fold."""
+    held_out = F.crc32(F.col("doc_id").cast("string").cast("binary")) % 10 == 0
+    return class_scores(table(spark, folder, "documents"), held_out)
+
+
+@query("op12_word_runs")
+def op12_word_runs(spark: SparkSession, folder: str) -> DataFrame:
+    """Periodic runs of every document's words, a tenth of the documents made periodic first."""
+    return word_runs(table(spark, folder, "documents"), rewrite=True).drop("starts", "lengths", "periods")
+
+
 @query("op13_manifest", manifest_sql())
 def op13_manifest(spark: SparkSession, folder: str) -> DataFrame:
     """Leaf, roots and proof of every document, and whether it still leads to the root when tampered with."""
