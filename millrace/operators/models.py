@@ -15,6 +15,7 @@ from pyspark.ml.regression import GBTRegressionModel, GBTRegressor, RandomForest
 from pyspark.sql import DataFrame, functions as F
 
 from millrace.operators.metrics import confusion_counts, with_ratios
+from millrace.operators.prefixes import failure_f1_by_size, negative_mae_by_size
 from millrace.operators.splits import with_folds
 from millrace.sources.staging import spread, stage
 
@@ -88,21 +89,32 @@ class Search:
         return rows.sparkSession.createDataFrame(ranked, "params string, score double")
 
 
+def _negative_mae_by_round(model: GBTRegressionModel, rows: DataFrame, sizes: Sequence[int]) -> list[float]:
+    by_round = model.evaluateEachIteration(rows, "absolute")
+    return [-by_round[n - 1] for n in sizes]
+
+
+def _shared_size(build: Callable[..., Estimator], score: Callable[[DataFrame], float]):
+    """(parameter, score by size) where the largest of several ensembles holds the smaller ones."""
+    return {
+        (GBTRegressor, negative_mae): ("maxIter", _negative_mae_by_round),
+        (RandomForestRegressor, negative_mae): ("numTrees", negative_mae_by_size),
+        (GBTClassifier, failure_f1): ("maxIter", failure_f1_by_size),
+    }.get((type(build()), score), (None, None))
+
+
 def _scores_of_fold(
     build: Callable[..., Estimator], group: list[Params], score: Callable[[DataFrame], float],
     train: DataFrame, held_out: DataFrame,
 ) -> list[float]:
-    """Scores of candidates that differ at most in the number of boosting rounds.
-
-    Boosting with more rounds repeats the shorter run first, so for the mean absolute error
-    the longest fit yields the scores after fewer rounds as well.
-    """
-    longest = max(group, key=lambda p: p.get("maxIter", 0))
-    model = build(**longest).fit(train)
+    """Scores of candidates that differ at most in the number of trees or rounds: one fit of the largest."""
     if len(group) == 1:
-        return [score(model.transform(held_out))]
-    by_round = model.evaluateEachIteration(held_out, "absolute")
-    return [-by_round[p["maxIter"] - 1] for p in group]
+        return [score(build(**group[0]).fit(train).transform(held_out))]
+    size, by_size = _shared_size(build, score)
+    sizes = sorted({p[size] for p in group})
+    model = build(**max(group, key=lambda p: p[size])).fit(train)
+    found = dict(zip(sizes, by_size(model, held_out, sizes)))
+    return [found[p[size]] for p in group]
 
 
 def grid_search(
@@ -113,17 +125,18 @@ def grid_search(
     """Score every candidate on every fold, then refit the best one on all rows.
 
     The rows with their fold numbers are written once and cached; fits run concurrently,
-    each of them distributed. Of equal candidates the first in grid order wins.
+    each of them distributed. Candidates that differ in the number of trees or rounds alone share
+    a fit (see ``prefixes``). Of equal candidates the first in grid order wins.
     """
     start = time.perf_counter()
     label = "label" if stratify else None
     numbered = spread(stage(with_folds(rows, folds, seed, key, label), "folds")).persist()
     try:
         points = candidates(grid)
-        share_rounds = score is negative_mae and isinstance(build(), GBTRegressor)
+        size, _ = _shared_size(build, score)
         groups: dict[tuple, list[int]] = {}
         for i, p in enumerate(points):
-            same = tuple((k, v) for k, v in p.items() if k != "maxIter") if share_rounds else i
+            same = tuple((k, v) for k, v in p.items() if k != size) if size in p else (i,)
             groups.setdefault(same, []).append(i)
         tasks = [(f, members) for f in range(folds) for members in groups.values()]
 
