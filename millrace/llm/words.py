@@ -76,14 +76,14 @@ def words_of(texts: pa.Array) -> Words:
     return Words(mixed(sums + sizes.astype(np.uint64)), begins, ends, np.searchsorted(begins, bounds), bounds[:-1])
 
 
-def in_slices(texts: pa.Array):
+def in_slices(texts: pa.Array, size: int = AT_ONCE):
     """(first row, slice) of a batch, by bytes of text."""
     import pyarrow.compute as pc
 
     if not len(texts):
         return
     sizes = np.cumsum(pc.fill_null(pc.binary_length(texts), 0).to_numpy(zero_copy_only=False))
-    cuts = np.searchsorted(sizes, np.arange(AT_ONCE, sizes[-1], AT_ONCE)) + 1
+    cuts = np.searchsorted(sizes, np.arange(size, sizes[-1], size)) + 1
     for lo, hi in zip([0, *cuts.tolist()], [*cuts.tolist(), len(texts)]):
         if lo < hi:
             yield lo, texts.slice(lo, hi - lo)
