@@ -2,14 +2,18 @@
 
 from __future__ import annotations
 
+import itertools
 from collections.abc import Mapping, Sequence
 from dataclasses import dataclass
 
-from pyspark.ml import Pipeline, PipelineModel
-from pyspark.ml.feature import OneHotEncoder, StringIndexerModel, VectorAssembler
+from pyspark.ml.feature import OneHotEncoder, VectorAssembler
 from pyspark.ml.functions import vector_to_array
 from pyspark.ml.stat import Summarizer
-from pyspark.sql import DataFrame, functions as F
+from pyspark.sql import DataFrame, SparkSession, functions as F
+
+from millrace.operators.codes import dense_codes
+from millrace.operators.joins import lookup_join
+from millrace.sources.staging import stage
 
 # The encoded columns of the training view and its label.
 CATEGORIES = ["shipping_mode", "customer_segment", "customer_city", "customer_state",
@@ -17,9 +21,9 @@ CATEGORIES = ["shipping_mode", "customer_segment", "customer_city", "customer_st
 LABEL = "delivery_variance_days"
 
 MAX_WIDE_COLUMNS = 2_000
-MAX_CATEGORIES = 100_000
-MAX_INDEXED_CATEGORIES = 10_000
-
+#: Values that one nominal slot tells apart; a column of more takes several slots, as digits.
+MAX_BINS = 10_000
+_DIGIT = 1024
 
 def distinct_values(
     frame: DataFrame, columns: Sequence[str], limit: int
@@ -59,72 +63,128 @@ def fit_wide_indicators(
     return WideIndicators(distinct_values(frame, columns, limit))
 
 
+def category_codes(frame: DataFrame, columns: Sequence[str]) -> DataFrame:
+    """column, value, code of every category: its place in sorted order among its column's, as a stored table."""
+    pairs = F.array(*[F.struct(F.lit(c).alias("column"), F.col(c).cast("string").alias("value")) for c in columns])
+    return stage(dense_codes(frame.select(F.inline(pairs)), "value", ["column"]), "category_codes")
+
+
+@dataclass(frozen=True)
+class _Category:
+    """One coded column: how many values it has, and the bytes of its part of the code table."""
+
+    column: str
+    values: int
+    size: int
+
+    @property
+    def digits(self) -> int:
+        """Nominal slots it takes; one code more stands for null and unknown values."""
+        if self.values < MAX_BINS:
+            return 1
+        return next(d for d in itertools.count(2) if _DIGIT**d > self.values)
+
+
 @dataclass(frozen=True)
 class FeatureEncoder:
-    """Features as one vector; ``names`` tells what each slot is.
+    """Features as one vector, its categories looked up in a table of codes of any size.
 
-    ``bins`` is the number of bins trees need to tell all values of a category apart.
+    ``nominal`` gives trees one slot per column (or per digit of its code) instead of one per value.
+    Null and unknown values have all zeros as indicators, and a code of their own as nominal slots.
     """
 
-    model: PipelineModel
-    names: list[str]
-    bins: int = 2
+    codes: DataFrame
+    categories: list[_Category]
+    numbers: list[str]
+    nominal: bool = False
+
+    @property
+    def bins(self) -> int:
+        """Bins that trees need to tell all values of a nominal slot apart."""
+        if not self.nominal:
+            return 2
+        return max((c.values + 1 if c.digits == 1 else _DIGIT for c in self.categories), default=2)
+
+    @property
+    def width(self) -> int:
+        """Slots of the vector."""
+        return len(self.numbers) + sum(c.digits if self.nominal else c.values - 1 for c in self.categories)
+
+    @property
+    def slots(self) -> DataFrame:
+        """slot, feature: what each slot of the vector is."""
+        spark, names = self.codes.sparkSession, list(self.numbers)
+        if self.nominal:
+            for c in self.categories:
+                names += [c.column] if c.digits == 1 else [f"{c.column}_digit{k}" for k in range(c.digits)]
+        table = slot_table(spark, names)
+        if self.nominal or not self.categories:
+            return table
+        starts = itertools.accumulate((c.values - 1 for c in self.categories), initial=len(self.numbers))
+        start = F.element_at(F.create_map(*[F.lit(x) for c, at in zip(self.categories, starts) for x in (c.column, at)]),
+                             F.col("column"))
+        flags = self.codes.where("code > 0").select(
+            (start + F.col("code") - 1).alias("slot"), F.concat_ws("_", "column", "value").alias("feature"))
+        return table.unionByName(flags)
 
     def apply(self, frame: DataFrame, keep: Sequence[str], label: str | None = None) -> DataFrame:
         """``keep`` columns, ``features`` and, if named, the label as a double."""
-        rows = self.model.transform(frame)
+        rows, inputs = frame, list(self.numbers)
+        for k, c in enumerate(self.categories):
+            code = self.codes.where(F.col("column") == c.column).select(
+                F.col("value").alias("_value"), F.col("code").alias(f"_code{k}"))
+            rows = lookup_join(rows.withColumn("_value", F.col(c.column).cast("string")), code, "_value",
+                               size=c.size, how="left").drop("_value")
+        nominal = lambda values: {"ml_attr": {"type": "nominal", "num_vals": values}}
+        for k, c in enumerate(self.categories):
+            code = F.coalesce(F.col(f"_code{k}"), F.lit(c.values))
+            if self.nominal:
+                for d in range(c.digits):
+                    radix = c.values + 1 if c.digits == 1 else _DIGIT
+                    digit = F.floor(code / radix**d) % radix
+                    rows = rows.withColumn(f"_slot{k}_{d}", digit.cast("double").alias("x", metadata=nominal(radix)))
+                    inputs.append(f"_slot{k}_{d}")
+            else:  # the first value shares the last index, which the encoder leaves out
+                index = F.when(code.between(1, c.values - 1), code - 1).otherwise(c.values - 1)
+                rows = rows.withColumn(f"_index{k}", index.cast("double").alias("x", metadata=nominal(c.values)))
+        if not self.nominal and self.categories:
+            indexed, flags = ([f"_{n}{k}" for k in range(len(self.categories))] for n in ("index", "flags"))
+            rows = OneHotEncoder(inputCols=indexed, outputCols=flags, dropLast=True).fit(rows).transform(rows)
+            inputs += flags
+        rows = VectorAssembler(inputCols=inputs, outputCol="features").transform(rows)
         extra = [] if label is None else [F.col(label).cast("double").alias("label")]
         return rows.select(*keep, *extra, "features")
 
 
-def fit_feature_encoder(
-    frame: DataFrame, categories: Sequence[str], numbers: Sequence[str],
-    limit: int = MAX_CATEGORIES,
-) -> FeatureEncoder:
-    """The vector form of ``WideIndicators``, for any number of categories up to a limit.
+def slot_table(spark: SparkSession, names: Sequence[str]) -> DataFrame:
+    """slot, feature of a vector whose slots have these names."""
+    return spark.createDataFrame(list(enumerate(names)), "slot long, feature string")
 
-    The first value of every column is not given to the indexer: with ``keep`` it shares
-    the extra index of null and unknown values, which the one-hot encoder drops.
-    """
-    known = distinct_values(frame, categories, limit) if categories else {}
-    varied = [c for c in categories if len(known[c]) > 1]
-    stages = []
-    if varied:
-        indexed, flags = [f"_{c}_index" for c in varied], [f"_{c}_flags" for c in varied]
-        # One indexer per column: the form for several pads the shorter label lists with null.
-        stages += [
-            StringIndexerModel.from_labels(known[c][1:], inputCol=c, outputCol=i, handleInvalid="keep")
-            for c, i in zip(varied, indexed)]
-        stages.append(OneHotEncoder(inputCols=indexed, outputCols=flags, dropLast=True))
-    stages.append(VectorAssembler(
-        inputCols=[*numbers, *[f"_{c}_flags" for c in varied]], outputCol="features"))
-    names = [*numbers, *[f"{c}_{v}" for c in varied for v in known[c][1:]]]
-    return FeatureEncoder(Pipeline(stages=stages).fit(frame), names)
-
-
-def fit_index_encoder(
-    frame: DataFrame, categories: Sequence[str], numbers: Sequence[str],
-    limit: int = MAX_INDEXED_CATEGORIES,
-) -> FeatureEncoder:
+
+def _fit(frame: DataFrame, categories: Sequence[str], numbers: Sequence[str], nominal: bool) -> FeatureEncoder:
+    codes = category_codes(frame, categories or [frame.columns[0]])
+    size = F.sum(F.octet_length("value") + 64)
+    found = {r["column"]: r for r in codes.groupBy("column").agg(F.count("*").alias("n"), size.alias("size")).collect()}
+    known = [_Category(c, found[c].n, found[c]["size"]) if c in found else _Category(c, 0, 0) for c in categories]
+    return FeatureEncoder(codes, [c for c in known if nominal or c.values > 1], list(numbers), nominal)
+
+
+def fit_feature_encoder(frame: DataFrame, categories: Sequence[str], numbers: Sequence[str]) -> FeatureEncoder:
+    """The vector form of ``WideIndicators``: one slot for each category but a column's first, of any number."""
+    return _fit(frame, categories, numbers, nominal=False)
+
+
+def fit_index_encoder(frame: DataFrame, categories: Sequence[str], numbers: Sequence[str]) -> FeatureEncoder:
     """Numbers and one slot per category column, marked as nominal for the tree models.
 
     Spark's trees split nominal features into sets of values. A row then takes a few slots
     instead of one per category, which is what fits in memory on a large table.
     """
-    known = distinct_values(frame, categories, limit)
-    indexed = [f"_{c}_index" for c in categories]
-    stages = [
-        StringIndexerModel.from_labels(known[c] or [""], inputCol=c, outputCol=i, handleInvalid="keep")
-        for c, i in zip(categories, indexed)]
-    stages.append(VectorAssembler(inputCols=[*numbers, *indexed], outputCol="features"))
-    bins = max((len(known[c]) + 1 for c in categories), default=2)
-    return FeatureEncoder(Pipeline(stages=stages).fit(frame), [*numbers, *categories], bins)
+    return _fit(frame, categories, numbers, nominal=True)
 
 
-def feature_sums(encoded: DataFrame, names: Sequence[str]) -> DataFrame:
+def feature_sums(encoded: DataFrame, slots: DataFrame) -> DataFrame:
     """Sum of every feature, by name."""
     total = encoded.select(Summarizer.sum(F.col("features")).alias("total"))
-    labels = F.array(*[F.lit(n) for n in names])
-    pairs = F.arrays_zip(labels.alias("feature"), vector_to_array("total").alias("total"))
-    return total.select(F.explode(pairs).alias("pair")).select(
-        F.col("pair.feature").alias("feature"), F.col("pair.total").alias("total"))
+    sums = total.select(F.posexplode(vector_to_array("total")).alias("slot", "total"))
+    return sums.join(slots, "slot").select("feature", "total")

@@ -1,4 +1,4 @@
-"""Inner join to a table with one row per key, safe against hot keys."""
+"""Join to a table with one row per key, safe against hot keys."""
 
 from __future__ import annotations
 
@@ -61,14 +61,16 @@ def lookup_join(
     size: int | None = None,
     hot_share: float = HOT_SHARE,
     hot_in: DataFrame | None = None,
+    how: str = "inner",
 ) -> DataFrame:
-    """``facts`` joined inner to ``lookup``, which has one row per key.
+    """``facts`` joined to ``lookup``, which has one row per key; ``how`` is "inner" or "left".
 
     A lookup table measured below ``broadcast_bytes`` (64 MB) is broadcast. A larger one is joined
     by one shuffle on the key and a salt. The salt is 0 but for frequent keys: their fact rows
     are dealt out by a hash of the row, and their lookup rows, at most 1/``hot_share``, are
     repeated for every salt. The facts are read once, so chained joins stay a chain. Complete
     copies of a fact row share a salt; a partition that these make large is split at run time.
+    Rows without a key are dealt out like those of a frequent one.
 
     ``key`` may give the two column names when they differ. ``size`` is the lookup's size
     in bytes where it is known, or any larger figure. ``hot_in`` names a cheaper table to
@@ -79,12 +81,13 @@ def lookup_join(
         lookup = lookup.withColumnRenamed(right, left)
     limit = BROADCAST_BYTES if broadcast_bytes is None else broadcast_bytes
     if (measured_bytes(lookup) if size is None else size) <= limit:
-        return facts.join(F.broadcast(lookup), left)
+        return facts.join(F.broadcast(lookup), left, how)
     hot = hot_keys(facts if hot_in is None else hot_in, left, hot_share)
-    if not hot:
+    if not hot and how == "inner":
         return facts.join(lookup, left)
-    is_hot = F.col(left).isin(hot)
+    is_hot = F.col(left).isin(hot) if hot else F.lit(False)
     plain = [F.col(f"`{c}`") for c, kind in facts.dtypes if "map<" not in kind and "variant" not in kind]
-    dealt = facts.withColumn(_SALT, F.when(is_hot, F.pmod(F.xxhash64(*plain), F.lit(SALTS)).cast("int")).otherwise(0))
+    dealt = facts.withColumn(_SALT, F.when(is_hot | F.col(left).isNull(), F.pmod(
+        F.xxhash64(*plain), F.lit(SALTS)).cast("int")).otherwise(0))
     salts = F.when(is_hot, F.sequence(F.lit(0), F.lit(SALTS - 1))).otherwise(F.array(F.lit(0)))
-    return dealt.join(lookup.withColumn(_SALT, F.explode(salts)), [left, _SALT]).drop(_SALT)
+    return dealt.join(lookup.withColumn(_SALT, F.explode(salts)), [left, _SALT], how).drop(_SALT)

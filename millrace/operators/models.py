@@ -160,10 +160,13 @@ def grid_search(
     return Search(model, points[best], list(zip(points, totals)), time.perf_counter() - start)
 
 
-def importances(rows: DataFrame, model: Model, names: Sequence[str]) -> DataFrame:
-    """Importance of every feature, by name; as many rows as the model has features."""
-    values = model.featureImportances.toArray().tolist()
-    return rows.sparkSession.createDataFrame(list(zip(names, values)), "feature string, importance double")
+def importances(model: Model, slots: DataFrame) -> DataFrame:
+    """Importance of every feature, by name, for all rows of ``slots`` (slot, feature)."""
+    vector = model.featureImportances
+    used = {int(k): float(v) for k, v in enumerate(vector.toArray()) if v} if not hasattr(vector, "indices") else dict(
+        zip(vector.indices.tolist(), vector.values.tolist()))
+    found = slots.sparkSession.createDataFrame(list(used.items()), "slot long, importance double")
+    return slots.join(found, "slot", "left").select("feature", F.coalesce("importance", F.lit(0.0)).alias("importance"))
 
 
 def top_importances(table: DataFrame, k: int = 10) -> DataFrame:

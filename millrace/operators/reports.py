@@ -2,7 +2,9 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, Window, functions as F
+from pyspark.sql import DataFrame, functions as F
+
+from millrace.operators.codes import totals_before
 
 
 def state_rollup(rows: DataFrame) -> DataFrame:
@@ -57,15 +59,13 @@ def danger_zones(readings: DataFrame, speed_step: int = 200, torque_step: int =
 def dispatch_queue(flagged: DataFrame) -> DataFrame:
     """Flagged machines with their rank by failure probability, highest first.
 
-    Ranks are worked out on the counts of distinct probabilities and joined back; ranking the
-    rows themselves would put all of them into one task. Equal probabilities share a rank;
+    Ranks are worked out on the counts of distinct probabilities, range by range, and joined back;
+    ranking the rows themselves would put all of them into one task. Equal probabilities share a rank;
     machines without a probability come last.
     """
     counts = flagged.groupBy("failure_probability").agg(F.count("*").alias("_rows"))
-    ahead = Window.orderBy(F.desc_nulls_last("failure_probability"))
-    ranks = counts.select(
-        F.col("failure_probability").alias("_probability"),
-        (F.sum("_rows").over(ahead) - F.col("_rows") + 1).alias("queue_rank"))
+    ahead = totals_before(counts, [F.desc_nulls_last("failure_probability")], "_rows", "_ahead")
+    ranks = ahead.select(F.col("failure_probability").alias("_probability"), (F.col("_ahead") + 1).alias("queue_rank"))
     others = [c for c in flagged.columns if c != "failure_probability"]
     return (flagged.join(ranks, F.col("failure_probability").eqNullSafe(F.col("_probability")))
             .select("failure_probability", *others, "queue_rank")

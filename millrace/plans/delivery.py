@@ -39,7 +39,8 @@ def prepare_rows(
     """Encode a training view and hold out an exact share.
 
     ``encoding`` is "indicators" (one 0/1 feature per category value) or "indexed" (one
-    nominal feature per column: far smaller rows, for large tables). Categories are learnt
+    nominal feature per column, or per digit of its code past 10,000 values: far smaller rows,
+    for large tables). Categories are learnt
     from all rows, before the split. A row's id is a hash of its values and nulls, so split and
     folds are the same however the view is stored; only complete copies share an id.
     """
@@ -103,4 +104,4 @@ def compare_models(rows: PreparedRows, boosted: Search, forest: Search) -> Compa
     best = forest if champion.first().winner == FOREST else boosted
     return Comparison(
         metrics, paired_t_test(predictions, "label", "forest", "boosted"), champion,
-        top_importances(importances(metrics, best.model, rows.encoder.names)))
+        top_importances(importances(best.model, rows.encoder.slots)))

@@ -7,6 +7,7 @@ from collections.abc import Mapping
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from millrace.operators.columns import enforce_types
+from millrace.operators.features import slot_table
 from millrace.operators.metrics import threshold_table
 from millrace.operators.models import (
     BOOSTED_CLASS_GRID, BOOSTED_REGRESSION_GRID, FOLDS, FOREST_GRID, importances, save_model,
@@ -91,7 +92,7 @@ def train_machines(
     """Tune the classifier on cleaned readings; returns its most important inputs."""
     trained = train_classifier(cleaned, grid=grid, folds=folds)
     save_model(trained.search.model, f"{output}/failure_model")
-    return top_importances(importances(cleaned, trained.search.model, MODEL_INPUTS), 3)
+    return top_importances(importances(trained.search.model, slot_table(cleaned.sparkSession, MODEL_INPUTS)), 3)
 
 
 def score_file(model, rows: DataFrame, output: str) -> DataFrame:

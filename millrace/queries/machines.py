@@ -2,7 +2,6 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Window
 from pyspark.sql import functions as F
 
 from millrace.functions.machine import (
@@ -12,6 +11,7 @@ from millrace.functions.numeric import round_half_even
 from millrace.operators.cleaning import (
     fit_imputation, fit_outlier_fences, fit_quartile_fences,
 )
+from millrace.operators.codes import dense_codes
 from millrace.operators.profile import (
     box_outliers, box_statistics, column_means, describe_numbers, describe_text, flag_counts,
     quantile_table, true_counts, value_counts,
@@ -71,8 +71,8 @@ SELECT machine_type, dense_rank() OVER (ORDER BY machine_type)::INT - 1 AS type_
 def type_codes(w):
     # A category is kept as text; its code is the place in sorted order among the distinct values.
     counts = value_counts(w.readings, "machine_type")
-    code = F.row_number().over(Window.orderBy("machine_type")) - 1
-    return counts.select("machine_type", code.cast("int").alias("type_code"), F.col("n").alias("rows"))
+    return dense_codes(counts, "machine_type", code="type_code").join(counts, "machine_type").select(
+        "machine_type", F.col("type_code").cast("int").alias("type_code"), F.col("n").alias("rows"))
 
 
 @query("f11_temperature_difference", """

@@ -8,7 +8,7 @@ from pyspark.ml.functions import vector_to_array
 from pyspark.sql import DataFrame, functions as F
 
 from millrace.functions.numeric import percent, round_half_even
-from millrace.operators.features import CATEGORIES, LABEL, feature_sums, fit_feature_encoder
+from millrace.operators.features import CATEGORIES, LABEL, feature_sums, fit_feature_encoder, slot_table
 from millrace.operators.metrics import choose_champion, class_weight, regression_metrics
 from millrace.operators.models import (
     importances, load_model, save_model, top_importances,
@@ -107,7 +107,7 @@ _NUMBERS = ["product_price", "days_for_shipment_scheduled", "order_item_total",
        f"WHERE {c} <> (SELECT min({c}) FROM {{{{joined}}}}) GROUP BY {c}" for c in CATEGORIES]))
 def indicator_sums(w):
     encoder = fit_feature_encoder(w.training, CATEGORIES, _NUMBERS)
-    sums = feature_sums(encoder.apply(w.training, [], LABEL), encoder.names)
+    sums = feature_sums(encoder.apply(w.training, [], LABEL), encoder.slots)
     return sums.withColumn("total", round_half_even(F.col("total"), 3))
 
 
@@ -166,12 +166,12 @@ def probabilities(w):
 
 @query("m10_importances")
 def feature_importances(w):
-    return importances(w.training, w.vault.classifier.search.model, MODEL_INPUTS)
+    return importances(w.vault.classifier.search.model, slot_table(w.spark, MODEL_INPUTS))
 
 
 @query("l2_top_importances")
 def most_important(w):
-    return top_importances(importances(w.training, w.boosted.model, w.prepared.encoder.names), 10)
+    return top_importances(importances(w.boosted.model, w.prepared.encoder.slots), 10)
 
 
 @query("f17_failure_percent")

@@ -23,7 +23,7 @@ def test_wide_and_vector_indicators_agree(spark):
     assert sorted(map(tuple, wide.collect())) == [
         (1.0, True, False), (2.0, False, False), (3.0, False, False), (4.0, False, True)]
     encoder = features.fit_feature_encoder(rows, ["k", "only"], ["n"])
-    assert encoder.names == ["n", "k_b", "k_c"]
+    assert [r.feature for r in encoder.slots.orderBy("slot").collect()] == ["n", "k_b", "k_c"]
     unseen = spark.createDataFrame([("zz", "y", 5.0)], rows.schema)
     vectors = encoder.apply(rows.unionByName(unseen), []).select(vector_to_array("features").alias("v"))
     assert sorted(tuple(r.v) for r in vectors.collect()) == [(1, 1, 0), (2, 0, 0), (3, 0, 0), (4, 0, 1), (5, 0, 0)]
@@ -37,7 +37,7 @@ def test_too_many_categories_are_refused(spark):
 
 def test_indexed_encoding_is_nominal(spark, view):
     rows = delivery.prepare_rows(view, encoding="indexed")
-    assert len(rows.encoder.names) == 10 and rows.encoder.bins == 8
+    assert rows.encoder.width == rows.encoder.slots.count() == 10 and rows.encoder.bins == 8
     search = delivery.train_boosted(rows, {"maxIter": [6], "maxDepth": [4], "stepSize": [0.3]}, folds=2)
     baseline = rows.vault.agg(F.stddev_pop("label")).first()[0]
     assert regression_metrics(search.model.transform(rows.vault)).first().rmse < 0.5 * baseline
