@@ -24,7 +24,7 @@ _GATHERED_SLOTS = 100_000  # so few interval counts are looked through on the dr
 _CUTS = 65536  # linear intervals in later passes
 _LIST_ROWS = 200_000  # an interval of so few rows is listed value by value
 _INTERVALS_PER_PASS = 100  # intervals refined by one scan
-MAX_SERIES = 1000
+MAX_SERIES = 1000  # series of one call; strata, of any number, are ranked in ``strata``
 
 _Found = tuple[float | int, int | None]  # a value and the rows up to it
 
@@ -224,6 +224,10 @@ def exact_quantiles(
     frame: DataFrame, columns: Sequence[str], probabilities: Sequence[float]
 ) -> dict[str, list[float | None]]:
     """Linearly interpolated quantiles of numeric columns; nulls and NaN do not count."""
+    if len(columns) > MAX_SERIES:
+        return exact_quantiles(frame, columns[:MAX_SERIES], probabilities) | exact_quantiles(
+            frame, columns[MAX_SERIES:], probabilities)
+
     def wanted(sizes: dict[str, int]) -> dict[str, list[int]]:
         return {s: [k for p in probabilities for k in _interpolation_ranks(n, p)[:2]]
                 for s, n in sizes.items()}

@@ -14,6 +14,7 @@ from collections.abc import Callable, Sequence
 from pyspark.sql import Column, DataFrame, functions as F
 
 from millrace.operators.selection import order_statistics
+from millrace.operators.strata import apportioned, cuts_after, fold_quotas, stratum_sizes, with_parts
 from millrace.sources.staging import stage
 
 _COPY = "_copy"
@@ -24,85 +25,71 @@ def holdout_size(n: int, share: float) -> int:
     return math.ceil(share * n - 1e-9)
 
 
-def largest_remainder(counts: dict[str, int], total: int) -> dict[str, int]:
-    """Share ``total`` out in proportion to ``counts``; left-over units go to the largest
-    fractions, on a tie to the first class in order."""
-    n = sum(counts.values())
-    exact = {k: total * c / n for k, c in counts.items()}
-    quota = {k: math.floor(v) for k, v in exact.items()}
-    by_fraction = sorted(counts, key=lambda k: (quota[k] - exact[k], k))
-    for k in by_fraction[: total - sum(quota.values())]:
-        quota[k] += 1
-    return quota
-
-
 def fold_sizes(n: int, folds: int) -> list[int]:
     """Sizes of contiguous folds: the first ``n % folds`` are one larger."""
     return [n // folds + (1 if i < n % folds else 0) for i in range(folds)]
 
 
-def stratified_fold_sizes(counts: dict[str, int], folds: int) -> dict[str, list[int]]:
-    """Class sizes per fold when the rows sorted by class are dealt out in turn."""
-    dealt, start = {}, 0
-    for k in sorted(counts):
-        positions = range(start, start + counts[k])
-        dealt[k] = [len(range(positions.start + (i - positions.start) % folds, positions.stop, folds))
-                    for i in range(folds)]
-        start += counts[k]
-    return dealt
+def _place(frame: DataFrame, seed: int, key: Sequence[str] | None) -> Column:
+    return F.xxhash64(F.lit(seed), *[F.col(f"`{c}`") for c in key or frame.columns])
 
 
 def assign_parts(
     frame: DataFrame,
-    part_sizes: Callable[[dict[str, int]], dict[str, Sequence[int]]],
+    part_sizes: Callable[[int], Sequence[int]],
     seed: int,
     key: Sequence[str] | None = None,
-    stratum: str | None = None,
     part: str = "part",
 ) -> DataFrame:
     """Number the rows' parts 0, 1, ... with exactly the sizes asked for.
 
-    ``part_sizes`` maps the row count of every stratum to the sizes of its parts. ``key``
-    lists the columns that identify a row; by default all of them count, and only complete
-    copies tie. Ties at a cut are broken by a row number stored beside the data.
+    ``part_sizes`` maps the number of rows to the sizes of the parts. ``key`` lists the columns that
+    identify a row; by default all of them count, and only complete copies tie. Ties at a cut are broken by
+    a row number stored beside the data.
     """
-    key = list(key or frame.columns)
-    group = F.lit("all") if stratum is None else F.coalesce(F.col(stratum).cast("string"), F.lit(""))
-    place = F.xxhash64(F.lit(seed), *[F.col(f"`{c}`") for c in key])
-    cuts: dict[str, list[int]] = {}
+    place, name = _place(frame, seed, key), "all"
+    cuts: list[int] = []
 
     def wanted(counts: dict[str, int]) -> dict[str, list[int]]:
-        for series, sizes in part_sizes(counts).items():
-            cuts[series] = list(itertools.accumulate(sizes))[:-1]
-        return cuts
+        for n in counts.values():
+            cuts.extend(list(itertools.accumulate(part_sizes(n)))[:-1])
+        return {name: cuts} if counts else {}
 
-    values = frame.select(group.alias("series"), place.alias("value"))
+    values = frame.select(F.lit(name).alias("series"), place.alias("value"))
     found, counts = order_statistics(values, wanted, counted=True)
     tied = {at: value for at, (value, upto) in found.items() if upto > at[1]}
     identified, last_copy = frame, {}
     if tied:
         identified = stage(frame.withColumn(_COPY, F.monotonically_increasing_id()), "split")
-        last_copy = _break_ties(
-            identified.select(group.alias("series"), place.alias("value"), _COPY), tied)
+        last_copy = _break_ties(identified.select(F.lit(name).alias("series"), place.alias("value"), _COPY), tied)
 
-    def beyond(series: str, k: int) -> Column:
-        """Whether a row comes after the k-th of its series."""
-        if k <= 0 or k >= counts[series]:
+    def beyond(k: int) -> Column:
+        """Whether a row comes after the k-th."""
+        if k <= 0 or k >= counts[name]:
             return F.lit(k <= 0)
-        cut = F.lit(found[series, k][0])
-        if (series, k) in last_copy:
-            return (place > cut) | ((place == cut) & (F.col(_COPY) > last_copy[series, k]))
+        cut = F.lit(found[name, k][0])
+        if (name, k) in last_copy:
+            return (place > cut) | ((place == cut) & (F.col(_COPY) > last_copy[name, k]))
         return place > cut
 
-    number = F.lit(0)
-    if cuts:
-        numbers = {s: sum((beyond(s, k).cast("int") for k in ks), F.lit(0)) for s, ks in cuts.items()}
-        number = F
-        for series, value in numbers.items():
-            number = number.when(group == series, value)
+    number = sum((beyond(k).cast("int") for k in cuts), F.lit(0))
     return identified.withColumn(part, number.cast("int")).drop(_COPY)
 
 
+def assign_within(
+    frame: DataFrame, quotas: Callable[[DataFrame], DataFrame], stratum: str, seed: int,
+    key: Sequence[str] | None = None, part: str = "part",
+) -> DataFrame:
+    """As ``assign_parts`` within every stratum, of any number; null and the empty text are one stratum.
+
+    ``quotas`` maps the strata (series, n) to the same with ``quotas``, the sizes of their parts.
+    """
+    series = F.coalesce(F.col(stratum).cast("string"), F.lit(""))
+    strata = quotas(stratum_sizes(frame.select(series.alias("series"))))
+    cuts = stage(cuts_after(strata, F.col("quotas")), "cuts")
+    return with_parts(frame, cuts, series, _place(frame, seed, key), part)
+
+
 def _break_ties(rows: DataFrame, tied: dict[tuple[str, int], int]) -> dict[tuple[str, int], int]:
     """The last row number before the cut, for cuts that fall inside equal hashes."""
     names = {(s, value): f"{s}/{value}" for (s, _k), value in tied.items()}
@@ -123,8 +110,8 @@ def holdout_split(
     frame: DataFrame, share: float = 0.2, seed: int = 16, key: Sequence[str] | None = None
 ) -> tuple[DataFrame, DataFrame]:
     """(training rows, held-out rows); the held-out part has exactly ceil(share * n) rows."""
-    def sizes(counts):
-        return {s: [holdout_size(n, share), n - holdout_size(n, share)] for s, n in counts.items()}
+    def sizes(n: int) -> list[int]:
+        return [holdout_size(n, share), n - holdout_size(n, share)]
 
     return _train_and_test(assign_parts(frame, sizes, seed, key))
 
@@ -133,12 +120,12 @@ def stratified_split(
     frame: DataFrame, label: str, share: float = 0.2, seed: int = 99,
     key: Sequence[str] | None = None,
 ) -> tuple[DataFrame, DataFrame]:
-    """Hold out exactly ceil(share * n) rows with the label's proportions kept."""
-    def sizes(counts):
-        quota = largest_remainder(counts, holdout_size(sum(counts.values()), share))
-        return {s: [quota[s], n - quota[s]] for s, n in counts.items()}
+    """Hold out exactly ceil(share * n) rows with the label's proportions kept, for any number of labels."""
+    def sizes(strata: DataFrame) -> DataFrame:
+        n = strata.agg(F.sum("n")).first()[0] or 0
+        return apportioned(strata, holdout_size(n, share)).withColumn("quotas", F.array("quota", F.col("n") - F.col("quota")))
 
-    return _train_and_test(assign_parts(frame, sizes, seed, key, stratum=label))
+    return _train_and_test(assign_within(frame, sizes, label, seed, key))
 
 
 def _train_and_test(parts: DataFrame) -> tuple[DataFrame, DataFrame]:
@@ -150,12 +137,9 @@ def with_folds(
     label: str | None = None, column: str = "fold",
 ) -> DataFrame:
     """A fold number per row; with ``label`` every fold keeps the label's proportions."""
-    def sizes(counts):
-        if label is None:
-            return {s: fold_sizes(n, folds) for s, n in counts.items()}
-        return stratified_fold_sizes(counts, folds)
-
-    return assign_parts(frame, sizes, seed, key, stratum=label, part=column)
+    if label is None:
+        return assign_parts(frame, lambda n: fold_sizes(n, folds), seed, key, column)
+    return assign_within(frame, lambda strata: fold_quotas(strata, folds), label, seed, key, column)
 
 
 def vault_split(

@@ -3,9 +3,9 @@
 import pytest
 from pyspark.sql import functions as F
 
+from millrace.operators import strata
 from millrace.operators.splits import (
-    fold_sizes, holdout_size, holdout_split, largest_remainder, stratified_fold_sizes,
-    stratified_split, vault_split, with_folds,
+    fold_sizes, holdout_size, holdout_split, stratified_split, vault_split, with_folds,
 )
 
 
@@ -53,15 +53,71 @@ def test_stratified_split_keeps_shares(spark):
     assert sorted(_ids(train) + _ids(test)) == list(range(1000))
 
 
-def test_largest_remainder_hits_the_total():
-    assert largest_remainder({"0": 14319, "1": 681}, 3000) == {"0": 2864, "1": 136}
-    assert sum(largest_remainder({"a": 3, "b": 3, "c": 3}, 4).values()) == 4
+def largest_remainder(counts, total):
+    n = sum(counts.values())
+    quota = {k: total * c // n for k, c in counts.items()}
+    for k in sorted(counts, key=lambda k: (-(total * counts[k] % n), k))[:total - sum(quota.values())]:
+        quota[k] += 1
+    return quota
+
+
+def stratified_fold_sizes(counts, folds):
+    dealt, start = {}, 0
+    for k in sorted(counts):
+        dealt[k] = [sum(p % folds == i for p in range(start, start + counts[k])) for i in range(folds)]
+        start += counts[k]
+    return dealt
 
 
-def test_fold_sizes():
+@pytest.mark.parametrize("counts,total", [
+    ({"0": 14319, "1": 681}, 3000), ({"a": 3, "b": 3, "c": 3}, 4), ({f"c{i}": i % 13 + 1 for i in range(1001)}, 1400),
+    ({"big": 10**15, "one": 1, "two": 2}, 2 * 10**14 + 1), ({"a": 1}, 0), ({}, 0)])
+def test_shares_and_folds_of_strata(spark, counts, total):
+    table = spark.createDataFrame(list(counts.items()), "series string, n long")
+    quotas = {r.series: r.quota for r in strata.apportioned(table, total).collect()}
+    assert quotas == (largest_remainder(counts, total) if counts else {})
+    assert sum(quotas.values()) == total
+    if sum(counts.values()) < 10**6:
+        dealt = {r.series: r.quotas for r in strata.fold_quotas(table, 3).collect()}
+        assert dealt == stratified_fold_sizes(counts, 3)
+
+
+def test_golden_shares():
+    assert largest_remainder({"0": 14319, "1": 681}, 3000) == {"0": 2864, "1": 136}
     assert fold_sizes(13, 5) == [3, 3, 3, 2, 2]
-    dealt = stratified_fold_sizes({"0": 7, "1": 4}, 3)
-    assert dealt == {"0": [3, 2, 2], "1": [1, 2, 1]}
+    assert stratified_fold_sizes({"0": 7, "1": 4}, 3) == {"0": [3, 2, 2], "1": [1, 2, 1]}
+
+
+@pytest.mark.parametrize("classes", [1001, 200_000])
+def test_any_number_of_strata(spark, classes):
+    """A third of all rows in one class, null its own class, the rest spread over many."""
+    i = F.col("id")
+    rows = spark.range(2 * classes).withColumn("y", F.when(i % 3 == 0, "hot").when(i % 3 == 1, (i % classes).cast("string")))
+    counts = {r.y or "": r.n for r in rows.groupBy("y").agg(F.count("*").alias("n")).collect()}
+    quotas = largest_remainder(counts, holdout_size(2 * classes, 0.2))
+    train, test = stratified_split(rows, "y", 0.2, 5, ["id"])
+    found = {r.y or "": r.n for r in test.groupBy("y").agg(F.count("*").alias("n")).collect()}
+    assert found == {k: n for k, n in quotas.items() if n}
+    assert train.count() == 2 * classes - sum(quotas.values()) and train.join(test, "id").isEmpty()
+    if classes == 1001:
+        dealt = stratified_fold_sizes(counts, 5)
+        folds = with_folds(rows, 5, 5, ["id"], label="y").groupBy("y", "fold").agg(F.count("*").alias("n")).collect()
+        assert {(r.y or "", r.fold): r.n for r in folds} == {(k, f): n for k, ns in dealt.items() for f, n in enumerate(ns) if n}
+
+
+def test_strata_of_copies_are_cut_exactly(spark, monkeypatch):
+    monkeypatch.setattr(strata, "_LIST_ROWS", 3)
+    i = F.col("id")
+    rows = spark.range(4000).select((i % 4).alias("y"), F.when(i % 4 < 2, 0).otherwise(i % 40).alias("x"))
+    folds = with_folds(rows, 7, 1, label="y").groupBy("y", "fold").agg(F.count("*").alias("n")).collect()
+    dealt = stratified_fold_sizes({str(k): 1000 for k in range(4)}, 7)
+    assert {(str(r.y), r.fold): r.n for r in folds} == {(k, f): n for k, ns in dealt.items() for f, n in enumerate(ns)}
+
+
+def test_no_plan_names_a_stratum(spark):
+    rows = spark.range(3000).withColumn("y", F.concat(F.lit("stratum-"), F.col("id") % 1500))
+    _, test = stratified_split(rows, "y", 0.2, 5, ["id"])
+    assert "stratum-1499" not in test._jdf.queryExecution().toString()
 
 
 def test_folds_are_balanced(spark):
