@@ -42,6 +42,57 @@ def enforce_types(frame: DataFrame, types: Mapping[str, str], strict: bool = Fal
     return frame.select(*[cast(n, k) for n, k in types.items()])
 
 
+REJECTED = "_rejected"
+_WHOLE = ("tinyint", "smallint", "int", "bigint", "integer", "long")
+
+
+def check_types(text: DataFrame, types: Mapping[str, str], also: Column | None = None) -> DataFrame:
+    """The text columns of ``types`` in its order with these types, and what didn't fit in ``_rejected``.
+
+    A field that is no value of its type is null in its place, and listed with its column, the cause and
+    its text, so that nothing stops the job and nothing vanishes. Whole numbers may be written with a
+    fraction of zero. ``also`` lists further rejects of the row.
+    """
+    columns, causes = [], []
+    for name, kind in types.items():
+        value = F.col(f"`{name}`")
+        fitted = value.try_cast(kind)
+        if kind in _WHOLE:
+            real = value.try_cast("double")
+            fitted = F.coalesce(fitted, F.when(real == F.floor(real), real.try_cast(kind)))
+        columns.append(fitted.alias(name))
+        if kind != "string":
+            causes.append(F.when(value.isNotNull() & fitted.isNull(), _reject(name, f"no {kind}", value)))
+    found = F.array_compact(F.array(*causes)) if causes else F.array().cast(_REJECTS)
+    return text.select(*columns, (found if also is None else F.concat(also, found)).cast(_REJECTS).alias(REJECTED))
+
+
+_REJECTS = "array<struct<column:string,cause:string,value:string>>"
+
+
+def _reject(column: str, cause: str, value: Column) -> Column:
+    return F.struct(F.lit(column).alias("column"), F.lit(cause).alias("cause"), value.alias("value"))
+
+
+def malformed(line: Column) -> Column:
+    """A reject of a whole line, where there is one."""
+    return F.when(line.isNotNull(), F.array(_reject("", "fields", line))).otherwise(F.array()).cast(_REJECTS)
+
+
+def accepted(checked: DataFrame) -> DataFrame:
+    """The typed rows, without lines that were malformed as a whole."""
+    return checked.where(~F.exists(REJECTED, lambda r: r["column"] == "")).drop(REJECTED)
+
+
+def rejected(checked: DataFrame) -> DataFrame:
+    """column, cause and value of every field and line that was turned away."""
+    return checked.select(F.inline(REJECTED))
+
+
+def reject_counts(checked: DataFrame) -> DataFrame:
+    return rejected(checked).groupBy("column", "cause").agg(F.count("*").alias("n"))
+
+
 def null_counts(frame: DataFrame) -> tuple[int, dict[str, int]]:
     """Row count and nulls per column, in one pass that returns one row."""
     row = frame.agg(

@@ -9,6 +9,7 @@ from millrace.operators.codes import totals_before
 
 def state_rollup(rows: DataFrame) -> DataFrame:
     """Orders, average delay in days and hours, and profit by state, largest first."""
+    # The report's column names, here and in variance_extremes.
     delay = F.col("delivery_variance_days")
     return (
         rows.groupBy("customer_state").agg(

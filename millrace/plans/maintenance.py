@@ -64,6 +64,8 @@ def score_machines(model: Model, rows: DataFrame, *carried: str) -> DataFrame:
 
 @dataclass(frozen=True)
 class VaultReport:
+    history: DataFrame
+    vault: DataFrame
     classifier: TrainedClassifier
     cleaner: TelemetryCleaner
     results: DataFrame
@@ -87,5 +89,5 @@ def vault_job(
     clean_vault = vault_cleaner.apply(vault)
     results = stage(score_machines(classifier.search.model, clean_vault, "udi"), "vault_results")
     validated = validation_rows(results, clean_vault, "udi", OUTCOME)
-    return VaultReport(classifier, cleaner, results, validation_counts(validated),
+    return VaultReport(history, vault, classifier, cleaner, results, validation_counts(validated),
                        validation_counts(relabel_near_misses(validated)))

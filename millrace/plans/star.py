@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from dataclasses import dataclass
+from functools import reduce
 
 from pyspark.sql import Column, DataFrame, functions as F
 
@@ -13,7 +14,7 @@ from millrace.functions.numeric import item_quantity, profit_margin, round_half_
 from millrace.functions.text import spaced_name, zip_code
 from millrace.operators.cleaning import fit_clip
 from millrace.operators.columns import drop_mostly_null, enforce_types, missing_as_null, rename_all
-from millrace.operators.integrity import one_row_per_key
+from millrace.operators.integrity import duplicate_keys, one_row_per_key, orphan_counts
 from millrace.operators.joins import lookup_join, measured_bytes
 from millrace.sources.staging import side_by_side, stage_all
 
@@ -42,6 +43,12 @@ TABLE_NAMES = {
     "days_for_shipping_(real)": "days_for_shipping_real",
     "days_for_shipment_(scheduled)": "days_for_shipment_scheduled",
 }
+# How facts meet their lookups in every view, and which rows count.
+LOOKUP_KEYS = {"dim_customers": "customer_id", "dim_products": "product_card_id", "dim_departments": "department_id"}
+VALID_FACTS, VALID_CUSTOMERS = "days_for_shipping_real >= 0", "customer_state IS NOT NULL"
+MONEY = ["product_price", "order_item_total", "order_profit_per_order"]
+NEEDED = [*CUSTOMER_TYPES, *PRODUCT_TYPES, *DEPARTMENT_TYPES,
+          *[c for c in ORDER_TYPES if c not in TABLE_NAMES.values()], *TABLE_NAMES]
 # Column lists of the three views.
 TRAINING_COLUMNS = [
     "shipping_mode", "customer_segment", "customer_city", "customer_state", "category_name",
@@ -65,20 +72,28 @@ def country_rows(extract: DataFrame, country: str, column: str = "Order Country"
     return extract.filter(F.col(f"`{column}`") == country)
 
 
+def cleaned_rows(extract: DataFrame, pattern: str = SLASHED_FORMAT, zip_parity: bool = False) -> DataFrame:
+    """Names, postal codes, dates and rounding; every column stays."""
+    rows = missing_as_null(rename_all(extract, spaced_name))
+    rows = rows.withColumn("customer_zipcode", zip_code(F.col("customer_zipcode"), zip_parity))
+    rows = with_calendar(rows, pattern)
+    return rows.withColumns({c: round_half_even(F.col(c).cast("double"), 2) for c in MONEY})
+
+
 def clean_extract(
     extract: DataFrame, country: str | None = None, pattern: str = SLASHED_FORMAT,
     zip_parity: bool = False,
 ) -> DataFrame:
-    """Filter first, then names, postal codes, dates, empty columns and rounding."""
+    """Filter first, then names, postal codes, dates, rounding and empty columns."""
     rows = extract if country is None else country_rows(extract, country)
-    rows = missing_as_null(rename_all(rows, spaced_name))
-    rows = rows.withColumn("customer_zipcode", zip_code(F.col("customer_zipcode"), zip_parity))
-    rows = with_calendar(rows, pattern)
-    needed = [*CUSTOMER_TYPES, *PRODUCT_TYPES, *DEPARTMENT_TYPES,
-              *[c for c in ORDER_TYPES if c not in TABLE_NAMES.values()], *TABLE_NAMES]
-    rows = drop_mostly_null(rows, required=needed)
-    money = ["product_price", "order_item_total", "order_profit_per_order"]
-    return rows.withColumns({c: round_half_even(F.col(c).cast("double"), 2) for c in money})
+    return drop_mostly_null(cleaned_rows(rows, pattern, zip_parity), required=NEEDED)
+
+
+def extract_types(header: list[str]) -> dict[str, str]:
+    """Types of an extract's columns by their headers; dates, postal codes and unknown columns are text."""
+    kinds = {**CUSTOMER_TYPES, **PRODUCT_TYPES, **DEPARTMENT_TYPES, **ORDER_TYPES}
+    found = {c: kinds.get(TABLE_NAMES.get(spaced_name(c), spaced_name(c)), "string") for c in header}
+    return {c: kind if kind in ("bigint", "int", "double") else "string" for c, kind in found.items()}
 
 
 def with_calendar(rows: DataFrame, pattern: str = SLASHED_FORMAT) -> DataFrame:
@@ -160,19 +175,17 @@ def build_star(cleaned: DataFrame) -> Star:
         "dim_departments": dimension(cleaned, DEPARTMENT_TYPES),
     })
     distinct, customers, products, departments = tables.values()
-    dimensions = {"customers": customers, "products": products, "departments": departments}
+    dimensions = dict(zip(LOOKUP_KEYS, (customers, products, departments)))
     sizes = dict(zip(dimensions, side_by_side(cleaned.sparkSession, measured_bytes, dimensions.values())))
     return Star(customers, products, departments, order_features(distinct), distinct, sizes)
 
 
 def star_join(star: Star) -> DataFrame:
     """Facts with all dimensions; real days not negative and the state known."""
-    facts = star.orders.filter("days_for_shipping_real >= 0")
-    customers = star.customers.filter("customer_state IS NOT NULL")
-    joined = facts
-    for lookup, name, key in ((customers, "customers", "customer_id"),
-                              (star.products, "products", "product_card_id"),
-                              (star.departments, "departments", "department_id")):
+    facts = joined = star.orders.filter(VALID_FACTS)
+    for name, key in LOOKUP_KEYS.items():
+        lookup = star.tables()[name]
+        lookup = lookup.filter(VALID_CUSTOMERS) if name == "dim_customers" else lookup
         joined = lookup_join(joined, lookup, key, size=star.sizes[name], hot_in=facts)
     return joined
 
@@ -187,3 +200,16 @@ def temporal_view(star: Star) -> DataFrame:
 
 def reporting_view(star: Star) -> DataFrame:
     return star_join(star).select(*REPORTING_COLUMNS)
+
+
+def key_report(star: Star) -> DataFrame:
+    """check, table, key, keys, rows: keys without a dimension row, and keys of more than one row."""
+    tables = star.tables()
+    found = [("orphan", "fact_orders", [key], orphan_counts(star.orders, tables[name], key))
+             for name, key in LOOKUP_KEYS.items()]
+    found += [("duplicate", name, key, duplicate_keys(tables[name], key))
+              for name, key in {"fact_orders": ["order_id", "order_item_id"], **{n: [k] for n, k in LOOKUP_KEYS.items()}}.items()]
+    parts = [keys.agg(F.count("*").alias("keys"), F.coalesce(F.sum("rows"), F.lit(0)).alias("rows")).select(
+        F.lit(check).alias("check"), F.lit(table).alias("table"), F.lit(", ".join(key)).alias("key"), "keys", "rows")
+        for check, table, key, keys in found]
+    return reduce(DataFrame.unionByName, parts)

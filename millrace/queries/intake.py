@@ -11,7 +11,8 @@ from millrace.operators.columns import drop_mostly_null, enforce_types, insert_c
 from millrace.operators.profile import null_profile, preview, row_lineage, schema_report
 from millrace.plans.stand_ins import ACCENTED_COUNTRY
 from millrace.plans.star import (
-    CUSTOMER_TYPES, ORDER_TYPES, REPORTING_COLUMNS, TEMPORAL_COLUMNS, TRAINING_COLUMNS,
+    CUSTOMER_TYPES, LOOKUP_KEYS, ORDER_TYPES, REPORTING_COLUMNS, TEMPORAL_COLUMNS, TRAINING_COLUMNS,
+    VALID_CUSTOMERS, VALID_FACTS,
     country_rows, training_view,
 )
 from millrace.plans.telemetry import KEY_NAMES
@@ -131,7 +132,8 @@ def catalog_views(w):
     sums = {"ml_training": "order_profit_capped", "ml_training_temporal": "profit_margin",
             "visual": "order_id"}
     layouts = {name: wide_keys(layout) for name, layout in TABLE_LAYOUTS.items()}
-    create_catalog(w.spark, "millrace_catalog", w.star.tables(), views, layouts)
+    create_catalog(w.spark, "millrace_catalog", w.star.tables(), views, layouts, LOOKUP_KEYS,
+                   [VALID_FACTS, VALID_CUSTOMERS])
     parts = [
         named_table(w.spark, f"millrace_catalog.{name}").agg(
             F.count("*").alias("rows"), F.sum("order_item_total").cast("double").alias("total"),

@@ -201,7 +201,7 @@ SELECT customer_state, count(order_id) AS total_orders,
   round_even(sum(order_profit_capped) * 10000, 0) / 10000 AS total_profit
 FROM {{facts}} JOIN {{customers}} USING (customer_id) GROUP BY customer_state""")
 def customer_rollup(w):
-    joined = lookup_join(w.star.orders, w.star.customers, "customer_id", size=w.star.sizes["customers"])
+    joined = lookup_join(w.star.orders, w.star.customers, "customer_id", size=w.star.sizes["dim_customers"])
     rows = _rounded(state_rollup(joined), 6, "avg_delay_days", "avg_delay_hours")
     return _rounded(rows, 4, "total_profit")
 

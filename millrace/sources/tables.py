@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from collections.abc import Mapping
+from collections.abc import Mapping, Sequence
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
@@ -78,12 +78,13 @@ def export_tables(tables: Mapping[str, DataFrame], layouts: Mapping[str, str]) -
 
 
 def create_catalog(
-    spark: SparkSession, database: str, tables: Mapping[str, DataFrame],
-    views: Mapping[str, list[str]], layouts: Mapping[str, str],
+    spark: SparkSession, database: str, tables: Mapping[str, DataFrame], views: Mapping[str, list[str]],
+    layouts: Mapping[str, str], keys: Mapping[str, str], conditions: Sequence[str],
 ) -> None:
-    """A database with typed tables over ``tables`` and star-join views over these.
+    """A database with typed tables over ``tables`` and views that join them.
 
-    ``views`` maps a view's name to its column list. Spark enforces no keys; the integrity
+    ``views`` maps a view's name to its column list, ``keys`` a lookup table to the key that the one table
+    without a key has too; ``conditions`` hold in every view. Spark enforces no keys; the integrity
     operators check them.
     """
     spark.sql(f"CREATE DATABASE IF NOT EXISTS {database} LOCATION '{new_location(spark, database)}'")
@@ -92,21 +93,8 @@ def create_catalog(
         spark.sql(f"CREATE TABLE {database}.{name} ({layouts[name]}) USING parquet "
                   f"LOCATION '{new_location(spark, name)}'")
         typed(frame, layouts[name]).write.insertInto(f"{database}.{name}")
+    (facts,) = tables.keys() - keys.keys()
+    lookups = " ".join(f"JOIN {database}.{name} USING ({key})" for name, key in keys.items())
     for name, columns in views.items():
-        owners = ", ".join(_qualified(c, layouts) for c in columns)
-        spark.sql(f"""
-            CREATE OR REPLACE VIEW {database}.{name} AS
-            SELECT {owners}
-            FROM {database}.fact_orders f
-            JOIN {database}.dim_customers c ON f.customer_id = c.customer_id
-            JOIN {database}.dim_products p ON f.product_card_id = p.product_card_id
-            JOIN {database}.dim_departments d ON f.department_id = d.department_id
-            WHERE f.days_for_shipping_real >= 0 AND c.customer_state IS NOT NULL""")
-
-
-def _qualified(column: str, layouts: Mapping[str, str]) -> str:
-    owners = {"f": "fact_orders", "c": "dim_customers", "p": "dim_products", "d": "dim_departments"}
-    for short, table in owners.items():
-        if column in [part.split()[0] for part in layouts[table].split(", ")]:
-            return f"{short}.{column}"
-    raise ValueError(f"no table has the column {column}")
+        spark.sql(f"CREATE OR REPLACE VIEW {database}.{name} AS SELECT {', '.join(columns)} "
+                  f"FROM {database}.{facts} {lookups} WHERE {' AND '.join(conditions)}")

@@ -64,3 +64,23 @@ def test_missing_texts_never_become_numbers(spark, tmp_path):
     got = rows.select(clip(F.col("a").cast("double"), 0.0, 1.0).alias("a"), "b").collect()
     assert [tuple(r) for r in got] == [(1.0, "x"), (None, None), (None, "y"), (None, None)]
     assert spark.range(1).select(clip(F.lit(float("nan")), 0.0, 9.0).alias("c")).first().c is None
+
+
+def test_rejects_neither_raise_nor_vanish(spark, tmp_path):
+    from millrace.operators.columns import accepted, reject_counts, rejected
+
+    (tmp_path / "rows.csv").write_text("id,price,made,name\n1,2.5,2024-01-05,x\n2,abc,2024-13-05,NaN\n3.0,N/A,,\"a,b\"\n"
+                                       "4,1\n5,1,2024-01-01,y,z\n6.5,1e3,2024-01-01,nan\n")
+    checked = delimited.read_checked(spark, str(tmp_path / "rows.csv"), "id int, price double, made date, name string")
+    stored = staging.stage(checked, "checked")
+    assert [(r.id, r.price, str(r.made), r.name) for r in accepted(stored).orderBy("id", "name").collect()] == [
+        (None, 1000.0, "2024-01-01", None), (1, 2.5, "2024-01-05", "x"), (2, None, "None", None), (3, None, "None", "a,b")]
+    assert sorted(map(tuple, rejected(stored).collect())) == [
+        ("", "fields", "4,1"), ("", "fields", "5,1,2024-01-01,y,z"), ("id", "no int", "6.5"), ("made", "no date", "2024-13-05"),
+        ("price", "no double", "abc")]
+    assert {(r.column, r.cause): r.n for r in reject_counts(stored).collect()}["", "fields"] == 2
+    # The typed and the text read share one rule for missing values.
+    typed = delimited.read_delimited(spark, str(tmp_path / "rows.csv"), "id string, price string, made string, name string")
+    text = delimited.read_delimited_text(spark, str(tmp_path / "rows.csv"))
+    whole = lambda rows: sorted((tuple(r) for r in rows.collect() if r.id not in ("4", "5")), key=str)
+    assert whole(typed) == whole(text)
