@@ -13,6 +13,7 @@ from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from millrace.operators.codes import dense_codes
 from millrace.operators.joins import lookup_join
+from millrace.operators.missing import KNOWN, filled_slots, gap_counts, without_nan
 from millrace.sources.staging import stage
 
 # The encoded columns of the training view and its label.
@@ -91,12 +92,17 @@ class FeatureEncoder:
 
     ``nominal`` gives trees one slot per column (or per digit of its code) instead of one per value.
     Null and unknown values have all zeros as indicators, and a code of their own as nominal slots.
+
+    ``gaps`` are the numbers that had missing values when the encoder was fitted. They stay columns beside
+    the vector, which is then called ``known``, until a model's own stages fill and mark them (see ``missing``).
+    Numbers without any value are left out.
     """
 
     codes: DataFrame
     categories: list[_Category]
     numbers: list[str]
     nominal: bool = False
+    gaps: tuple[str, ...] = ()
 
     @property
     def bins(self) -> int:
@@ -107,8 +113,8 @@ class FeatureEncoder:
 
     @property
     def width(self) -> int:
-        """Slots of the vector."""
-        return len(self.numbers) + sum(c.digits if self.nominal else c.values - 1 for c in self.categories)
+        """Slots of the features, with the filled numbers and their marks."""
+        return 2 * len(self.gaps) + len(self.numbers) + sum(c.digits if self.nominal else c.values - 1 for c in self.categories)
 
     @property
     def slots(self) -> DataFrame:
@@ -118,18 +124,21 @@ class FeatureEncoder:
             for c in self.categories:
                 names += [c.column] if c.digits == 1 else [f"{c.column}_digit{k}" for k in range(c.digits)]
         table = slot_table(spark, names)
-        if self.nominal or not self.categories:
-            return table
-        starts = itertools.accumulate((c.values - 1 for c in self.categories), initial=len(self.numbers))
-        start = F.element_at(F.create_map(*[F.lit(x) for c, at in zip(self.categories, starts) for x in (c.column, at)]),
-                             F.col("column"))
-        flags = self.codes.where("code > 0").select(
-            (start + F.col("code") - 1).alias("slot"), F.concat_ws("_", "column", "value").alias("feature"))
-        return table.unionByName(flags)
+        if not self.nominal and self.categories:
+            starts = itertools.accumulate((c.values - 1 for c in self.categories), initial=len(self.numbers))
+            start = F.element_at(F.create_map(*[F.lit(x) for c, at in zip(self.categories, starts) for x in (c.column, at)]),
+                                 F.col("column"))
+            table = table.unionByName(self.codes.where("code > 0").select(
+                (start + F.col("code") - 1).alias("slot"), F.concat_ws("_", "column", "value").alias("feature")))
+        last = slot_table(spark, filled_slots(self.gaps)).withColumn("slot", F.col("slot") + (self.width - 2 * len(self.gaps)))
+        return table.unionByName(last) if self.gaps else table
 
     def apply(self, frame: DataFrame, keep: Sequence[str], label: str | None = None) -> DataFrame:
-        """``keep`` columns, ``features`` and, if named, the label as a double."""
-        rows, inputs = frame, list(self.numbers)
+        """``keep`` columns, ``features`` (or ``known`` and the gaps) and, if named, the label as a double.
+
+        A number that is missing where none was when the encoder was fitted is NaN, which trees take for large.
+        """
+        rows, inputs = without_nan(frame, self.gaps), list(self.numbers)
         for k, c in enumerate(self.categories):
             code = self.codes.where(F.col("column") == c.column).select(
                 F.col("value").alias("_value"), F.col("code").alias(f"_code{k}"))
@@ -151,9 +160,10 @@ class FeatureEncoder:
             indexed, flags = ([f"_{n}{k}" for k in range(len(self.categories))] for n in ("index", "flags"))
             rows = OneHotEncoder(inputCols=indexed, outputCols=flags, dropLast=True).fit(rows).transform(rows)
             inputs += flags
-        rows = VectorAssembler(inputCols=inputs, outputCol="features").transform(rows)
+        vector = KNOWN if self.gaps else "features"
+        rows = VectorAssembler(inputCols=inputs, outputCol=vector, handleInvalid="keep").transform(rows)
         extra = [] if label is None else [F.col(label).cast("double").alias("label")]
-        return rows.select(*keep, *extra, "features")
+        return rows.select(*keep, *extra, vector, *self.gaps)
 
 
 def slot_table(spark: SparkSession, names: Sequence[str]) -> DataFrame:
@@ -163,10 +173,13 @@ def slot_table(spark: SparkSession, names: Sequence[str]) -> DataFrame:
 
 def _fit(frame: DataFrame, categories: Sequence[str], numbers: Sequence[str], nominal: bool) -> FeatureEncoder:
     codes = category_codes(frame, categories or [frame.columns[0]])
+    gaps = gap_counts(frame, numbers)
+    n = frame.count() if gaps else 0
+    complete, open_ = [c for c in numbers if c not in gaps], tuple(c for c in numbers if 0 < gaps.get(c, 0) < n)
     size = F.sum(F.octet_length("value") + 64)
     found = {r["column"]: r for r in codes.groupBy("column").agg(F.count("*").alias("n"), size.alias("size")).collect()}
     known = [_Category(c, found[c].n, found[c]["size"]) if c in found else _Category(c, 0, 0) for c in categories]
-    return FeatureEncoder(codes, [c for c in known if nominal or c.values > 1], list(numbers), nominal)
+    return FeatureEncoder(codes, [c for c in known if nominal or c.values > 1], complete, nominal, open_)
 
 
 def fit_feature_encoder(frame: DataFrame, categories: Sequence[str], numbers: Sequence[str]) -> FeatureEncoder:

@@ -9,12 +9,13 @@ from dataclasses import dataclass
 from multiprocessing.pool import ThreadPool
 
 from pyspark import inheritable_thread_target
-from pyspark.ml import Estimator, Model
+from pyspark.ml import Estimator, Model, Pipeline
 from pyspark.ml.classification import GBTClassifier
 from pyspark.ml.regression import GBTRegressionModel, GBTRegressor, RandomForestRegressor
 from pyspark.sql import DataFrame, functions as F
 
 from millrace.operators.metrics import confusion_counts, with_ratios
+from millrace.operators.missing import trees_of, with_features
 from millrace.operators.prefixes import failure_f1_by_size, negative_mae_by_size
 from millrace.operators.splits import with_folds
 from millrace.sources.staging import spread, stage
@@ -94,13 +95,17 @@ def _negative_mae_by_round(model: GBTRegressionModel, rows: DataFrame, sizes: Se
     return [-by_round[n - 1] for n in sizes]
 
 
+def _last_stage(estimator: Estimator) -> Estimator:
+    return estimator.getStages()[-1] if isinstance(estimator, Pipeline) else estimator
+
+
 def _shared_size(build: Callable[..., Estimator], score: Callable[[DataFrame], float]):
     """(parameter, score by size) where the largest of several ensembles holds the smaller ones."""
     return {
         (GBTRegressor, negative_mae): ("maxIter", _negative_mae_by_round),
         (RandomForestRegressor, negative_mae): ("numTrees", negative_mae_by_size),
         (GBTClassifier, failure_f1): ("maxIter", failure_f1_by_size),
-    }.get((type(build()), score), (None, None))
+    }.get((type(_last_stage(build())), score), (None, None))
 
 
 def _scores_of_fold(
@@ -113,7 +118,7 @@ def _scores_of_fold(
     size, by_size = _shared_size(build, score)
     sizes = sorted({p[size] for p in group})
     model = build(**max(group, key=lambda p: p[size])).fit(train)
-    found = dict(zip(sizes, by_size(model, held_out, sizes)))
+    found = dict(zip(sizes, by_size(trees_of(model), with_features(model, held_out), sizes)))
     return [found[p[size]] for p in group]
 
 
@@ -162,7 +167,7 @@ def grid_search(
 
 def importances(model: Model, slots: DataFrame) -> DataFrame:
     """Importance of every feature, by name, for all rows of ``slots`` (slot, feature)."""
-    vector = model.featureImportances
+    vector = trees_of(model).featureImportances
     used = {int(k): float(v) for k, v in enumerate(vector.toArray()) if v} if not hasattr(vector, "indices") else dict(
         zip(vector.indices.tolist(), vector.values.tolist()))
     found = slots.sparkSession.createDataFrame(list(used.items()), "slot long, importance double")

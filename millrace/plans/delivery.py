@@ -14,6 +14,7 @@ from millrace.operators.features import (
 from millrace.operators.metrics import (
     BOOSTED, FOREST, choose_champion, metrics_table, model_metrics, paired_t_test,
 )
+from millrace.operators.missing import filling, predicted
 from millrace.operators.models import (
     BOOSTED_REGRESSION_GRID, FOLDS, FOREST_GRID, Search, boosted_regressor, forest_regressor,
     grid_search, importances, negative_mae, top_importances,
@@ -56,8 +57,8 @@ def prepare_rows(
 
 
 def _with_bins(build, rows: PreparedRows):
-    """An estimator with bins enough for the widest nominal feature."""
-    return partial(build, maxBins=max(32, rows.encoder.bins))
+    """An estimator with bins enough for the widest nominal feature, behind the fill of numbers with gaps."""
+    return filling(partial(build, maxBins=max(32, rows.encoder.bins)), rows.encoder.gaps)
 
 
 @dataclass(frozen=True)
@@ -84,8 +85,7 @@ def train_forest(
 
 def vault_predictions(rows: PreparedRows, boosted: Search, forest: Search) -> DataFrame:
     """Both predictions on the same row: one model after the other, no join."""
-    first = boosted.model.transform(rows.vault).withColumnRenamed("prediction", "boosted")
-    both = forest.model.transform(first).withColumnRenamed("prediction", "forest")
+    both = predicted(forest.model, predicted(boosted.model, rows.vault, "boosted"), "forest")
     return both.select(ROW, "label", "boosted", "forest")
 
 

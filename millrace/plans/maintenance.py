@@ -2,14 +2,15 @@
 
 from __future__ import annotations
 
-from collections.abc import Mapping
+from collections.abc import Mapping, Sequence
 from dataclasses import dataclass
 
-from pyspark.ml import Model
+from pyspark.ml import Model, PipelineModel
 from pyspark.ml.feature import VectorAssembler
 from pyspark.sql import DataFrame, functions as F
 
 from millrace.operators.metrics import class_weight, validation_counts
+from millrace.operators.missing import filling, gap_counts, without_nan
 from millrace.operators.models import (
     BOOSTED_CLASS_GRID, FOLDS, Search, boosted_classifier, failure_f1, grid_search,
     with_class_weight,
@@ -26,13 +27,24 @@ TEST_SEED, VAULT_SEED = 42, 99
 
 
 def as_vectors(rows: DataFrame, *keep: str) -> DataFrame:
-    """The model's inputs as a vector, beside the columns to keep."""
-    return VectorAssembler(inputCols=MODEL_INPUTS, outputCol="features").transform(rows).select(
+    """The model's inputs as a vector, beside the columns to keep; a missing input is NaN."""
+    return VectorAssembler(inputCols=MODEL_INPUTS, outputCol="features", handleInvalid="keep").transform(rows).select(
         *keep, "features")
 
 
+def labelled(rows: DataFrame) -> DataFrame:
+    return rows.withColumn("label", F.col(OUTCOME).cast("double"))
+
+
 def labelled_vectors(rows: DataFrame, *keep: str) -> DataFrame:
-    return as_vectors(rows.withColumn("label", F.col(OUTCOME).cast("double")), *keep, "label")
+    return as_vectors(labelled(rows), *keep, "label")
+
+
+def model_rows(rows: DataFrame, gaps: Sequence[str], *keep: str) -> DataFrame:
+    """What a classifier trains on: vectors, or the inputs as columns where some have gaps."""
+    if not gaps:
+        return as_vectors(rows, *keep)
+    return without_nan(rows, MODEL_INPUTS).select(*keep, *MODEL_INPUTS)
 
 
 @dataclass(frozen=True)
@@ -46,20 +58,30 @@ def train_classifier(
     cleaned: DataFrame, key: str = "udi", grid: Mapping = BOOSTED_CLASS_GRID, folds: int = FOLDS,
     parallelism: int = 4,
 ) -> TrainedClassifier:
-    """Hold out a fifth, weigh failures by their rarity, search by F1 of the failures."""
-    train, test = holdout_split(stage(labelled_vectors(cleaned, key), "labelled"), 0.2, TEST_SEED, [key])
+    """Hold out a fifth, weigh failures by their rarity, search by F1 of the failures.
+
+    Where inputs have gaps, all are filled, and marked, by what each fit learns from its own rows.
+    """
+    gaps = gap_counts(cleaned, MODEL_INPUTS)
+    rows = stage(model_rows(labelled(cleaned), list(gaps), key, "label"), "labelled")
+    train, test = holdout_split(rows, 0.2, TEST_SEED, [key])
     weight = class_weight(train, "label").first().weight
     if not weight:
         raise ValueError("the training rows hold no failure, or nothing else")
-    search = grid_search(with_class_weight(train, weight), boosted_classifier, grid, failure_f1, folds,
+    build = filling(boosted_classifier, MODEL_INPUTS if gaps else [], known=False)
+    search = grid_search(with_class_weight(train, weight), build, grid, failure_f1, folds,
                          key=[key], stratify=True, parallelism=parallelism)
     return TrainedClassifier(search, search.model.transform(test), weight)
 
 
 def score_machines(model: Model, rows: DataFrame, *carried: str) -> DataFrame:
     """Report rows for machines with the model's inputs; the machine id is no input."""
-    assembled = VectorAssembler(inputCols=MODEL_INPUTS, outputCol="features").transform(rows)
-    return result_report(with_predictions(model.transform(assembled)), *carried)
+    if isinstance(model, PipelineModel):
+        scored = model.transform(without_nan(rows, MODEL_INPUTS))
+    else:
+        scored = model.transform(VectorAssembler(
+            inputCols=MODEL_INPUTS, outputCol="features", handleInvalid="keep").transform(rows))
+    return result_report(with_predictions(scored), *carried)
 
 
 @dataclass(frozen=True)
