@@ -5,9 +5,9 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from millrace.functions.machine import (
-    heat_dissipation_failure, overstrain_failure, power_failure, temperature_difference,
+    FAILURE, NORMAL, heat_dissipation_failure, overstrain_failure, power_failure, temperature_difference,
 )
-from millrace.functions.numeric import round_half_even
+from millrace.functions.numeric import percent, round_half_even
 from millrace.operators.cleaning import (
     fit_imputation, fit_outlier_fences, fit_quartile_fences,
 )
@@ -23,7 +23,9 @@ from millrace.plans.telemetry import (
     FAILURE_MODES, MEASURES, fit_telemetry_cleaner, telemetry_names,
 )
 from millrace.queries.registry import query
-from millrace.streaming.scoring import score_available
+from millrace.sources.staging import new_location
+from millrace.streaming.queue import open_queue, start_queue
+from millrace.streaming.scoring import arriving_rows, score_available
 
 
 def _rounded(rows, digits: int, *columns: str):
@@ -245,3 +247,25 @@ def streamed_flags(w):
             round_half_even(F.col("temp_difference_k"), 6).alias("temp_difference_k"),
             "rotational_speed_rpm_outlier"))
     return scored
+
+
+@query("st1_kept_queue", """
+WITH r AS (SELECT 'M' || user_id AS machine_id, failure_probability, ts, event_id,
+    CASE WHEN predicted_failure_flag = 1 THEN 'Failure' ELSE 'Normal operation' END AS status
+  FROM events JOIN {{scored}} ON udi = event_id + 1),
+latest AS (SELECT DISTINCT ON (machine_id) * FROM r WHERE machine_id IS NOT NULL ORDER BY machine_id, ts DESC, event_id DESC)
+SELECT machine_id, failure_probability, status, event_id AS reading,
+  (rank() OVER (ORDER BY failure_probability DESC))::BIGINT AS queue_rank
+FROM latest WHERE status = 'Failure' OR failure_probability > 40""")
+def kept_queue(w):
+    """A queue kept by a stream of all readings, each user's events taken for one machine's."""
+    event = F.col("event_id")
+    wear, torque = ((event * 31) % 254).cast("int"), 28 + ((event * 7919) % 241).cast("double") / 10
+    load = F.least(F.lit(1.0), wear * torque / 13000)
+    readings = arriving_rows(w.spark, f"{w.folder}/events.parquet*", w.table("events").schema).select(
+        F.concat(F.lit("M"), "user_id").alias("machine_id"), percent(load).alias("failure_probability"),
+        F.when(load > 0.5, FAILURE).otherwise(NORMAL).alias("status"), F.col("ts").cast("timestamp").alias("seen"),
+        event.alias("reading"))
+    output = new_location(w.spark, "queue")
+    start_queue(readings, output, new_location(w.spark, "queue-progress"), keep="36500 days", lateness="365 days").awaitTermination()
+    return open_queue(w.spark, output).select("machine_id", "failure_probability", "status", "reading", "queue_rank")
