@@ -114,9 +114,9 @@ def describe_text(frame: DataFrame, columns: Sequence[str]) -> DataFrame:
 
 
 def describe(frame: DataFrame) -> DataFrame:
-    """Both summaries for all columns of a table."""
+    """Both summaries for all columns of a table; dates and times count as text."""
     numeric = [f.name for f in frame.schema.fields if isinstance(f.dataType, T.NumericType)]
-    text = [f.name for f in frame.schema.fields if isinstance(f.dataType, T.StringType)]
+    text = [f.name for f in frame.schema.fields if isinstance(f.dataType, (T.StringType, T.DatetimeType))]
     parts = ([describe_numbers(frame, numeric)] if numeric else []) + (
         [describe_text(frame, text)] if text else [])
     return reduce(lambda a, b: a.unionByName(b, allowMissingColumns=True), parts)

@@ -13,7 +13,7 @@ from millrace.operators.cleaning import (
 )
 from millrace.operators.codes import dense_codes
 from millrace.operators.profile import (
-    box_outliers, box_statistics, column_means, describe_numbers, describe_text, flag_counts,
+    box_outliers, box_statistics, column_means, describe, describe_numbers, describe_text, flag_counts,
     quantile_table, true_counts, value_counts,
 )
 from millrace.operators.reports import danger_zones
@@ -170,6 +170,22 @@ def text_summary(w):
     return describe_text(w.readings, ["machine_type", "machine_id"])
 
 
+_ALL_NUMBERS = ["udi", *MEASURES, "machine_failure", *FAILURE_MODES]
+_ALL_TEXTS = ["machine_id", "machine_type", "ts"]
+
+
+@query("a6_describe_table", " UNION ALL ".join(
+    [f"""SELECT '{c}' AS column_name, count({c}) AS count, {_r(f"avg({c})")} AS mean, {_r(f"stddev_samp({c})")} AS std,
+  min({c})::DOUBLE AS min, {_r(f"quantile_cont({c}::DOUBLE, 0.25)")} AS q25, {_r(f"quantile_cont({c}::DOUBLE, 0.5)")} AS q50,
+  {_r(f"quantile_cont({c}::DOUBLE, 0.75)")} AS q75, max({c})::DOUBLE AS max, NULL::BIGINT AS "unique", NULL AS top,
+  NULL::BIGINT AS freq FROM {{{{recorded}}}}""" for c in _ALL_NUMBERS]
+    + [f"""SELECT '{c}', count({c}), NULL, NULL, NULL, NULL, NULL, NULL, NULL, count(DISTINCT {c}),
+  (SELECT {c}::VARCHAR FROM {{{{recorded}}}} GROUP BY {c} ORDER BY count(*) DESC, {c}::VARCHAR LIMIT 1),
+  (SELECT count(*) FROM {{{{recorded}}}} GROUP BY {c} ORDER BY count(*) DESC LIMIT 1) FROM {{{{recorded}}}}""" for c in _ALL_TEXTS]))
+def table_summary(w):
+    return _rounded(describe(telemetry_names(w.telemetry_raw)), 6, "mean", "std", "q25", "q50", "q75")
+
+
 @query("a8_type_counts", """
 SELECT machine_type, count(*) AS n FROM {{readings}} GROUP BY ALL""")
 def type_counts(w):
