@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 from millrace.functions.calendar import delivery_variance
 from millrace.functions.numeric import item_quantity, profit_margin, round_half_even
 from millrace.operators.cleaning import fit_clip
+from millrace.operators.colocated import store_colocated
 from millrace.operators.features import LABEL, fit_wide_indicators
 from millrace.operators.integrity import (
     duplicate_keys, one_row_per_key, orphan_counts, orphan_rows,
@@ -206,6 +207,15 @@ def customer_rollup(w):
     return _rounded(rows, 4, "total_profit")
 
 
+@query("j4_colocated_join", """
+SELECT order_id, order_item_id, customer_id, order_profit_capped, customer_segment, customer_city, customer_state
+FROM {{facts}} JOIN {{customers}} USING (customer_id)""")
+def colocated_orders(w):
+    stored = store_colocated(w.star.orders, w.star.customers, "customer_id")
+    return stored.join().select("order_id", "order_item_id", "customer_id", "order_profit_capped", "customer_segment",
+                                "customer_city", "customer_state")
+
+
 @query("j5_paired_rows", """
 SELECT f.order_id, f.order_item_id, f.item_quantity, f.order_item_total, f.product_price FROM (
   SELECT order_id, order_item_id, order_item_total, product_price,
