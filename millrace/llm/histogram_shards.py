@@ -122,22 +122,32 @@ def histogram_shards(frame: DataFrame, size: Column, group: Column, row: Column,
     """``frame`` with shard (0 to shards - 1) and slot (gapless from 0 in each shard).
 
     Rows of equal ``group`` value follow each other in the key's order; ``row`` is the
-    column that tells the rows of a group apart, and a stored number the rest, so a group
-    of any size can be cut. Columns shard and slot of the input are replaced. Null sizes
+    column that tells the rows of a group apart, so a group of any size can be cut. Only where rows
+    of the same group and ``row`` are too large together for that, all rows are stored with a number. Else
+    just sizes and keys are, and ``frame``, which should be a stored table, is exchanged as it is. Columns shard and slot of the input are replaced. Null sizes
     count as nothing, null keys as one value. An empty table gives no rows.
     """
     kept = [c for c in frame.columns if c not in ("shard", "slot")]
-    key = ["_group", "_row", "_number"]
-    rows = stage(frame.select(
+    whole = frame.select(
         F.struct(*kept).alias("_all") if kept else F.struct(F.lit(1)).alias("_all"),
-        F.coalesce(size.cast("long"), F.lit(0)).alias("_size"), F.xxhash64(group).alias("_group"),
-        F.xxhash64(row).alias("_row"), F.monotonically_increasing_id().alias("_number")), "shard-rows")
-    splitters = find_splitters(rows, "_size", key, shards, tolerance)
+        F.coalesce(size.cast("long"), F.lit(0)).alias("_size"), F.xxhash64(group).alias("_group"), F.xxhash64(row).alias("_row"))
+    key = ["_group", "_row"]
+    narrow = stage(whole.select("_size", *key), "shard-keys")
+    allowed = tolerance * (narrow.agg(F.sum("_size")).first()[0] or 0) / shards
+    if narrow.groupBy(*key).agg(F.sum("_size").alias("n"), F.count("*").alias("rows")).where(
+            (F.col("n") > allowed) & (F.col("rows") > 1)).isEmpty():
+        rows = whole
+    else:  # rows that nothing tells apart are too large together: each gets a number, which has to be stored
+        key = [*key, "_number"]
+        rows = stage(whole.withColumn("_number", F.monotonically_increasing_id()), "shard-rows")
+        narrow = rows.select("_size", *key)
+    splitters = find_splitters(narrow, "_size", key, shards, tolerance)
     shard = reduce(lambda a, b: a + b, [at_or_above(key, s).cast("int") for s in splitters], F.lit(0))
-    buckets = rows.agg(F.sum("_size")).first()[0] or 0
+    buckets = narrow.agg(F.sum("_size")).first()[0] or 0
     buckets = min(MOST_BUCKETS, max(LEAST_BUCKETS, buckets // shards // BUCKET_SIZE))
     dealt = rows.withColumns({"_shard": shard, "_bucket": F.pmod(F.xxhash64(*key), F.lit(buckets))})
-    counts = dealt.groupBy("_shard", "_bucket").agg(F.count("*").alias("_n"))
+    counts = narrow.withColumns({"_shard": shard, "_bucket": F.pmod(F.xxhash64(*key), F.lit(buckets))}).groupBy(
+        "_shard", "_bucket").agg(F.count("*").alias("_n"))
     earlier = Window.partitionBy("_shard").orderBy("_bucket").rowsBetween(Window.unboundedPreceding, -1)
     starts = counts.select("_shard", "_bucket", F.coalesce(F.sum("_n").over(earlier), F.lit(0)).alias("_start"))
     place = F.row_number().over(Window.partitionBy("_shard", "_bucket").orderBy(*key)) - 1
