@@ -8,8 +8,9 @@ one is opened.
 
 What a piece needs depends on its length alone, and what a sequence can take on its residuals
 alone, so pieces of one length and sequences in one state are placed together: the plan is
-made from the number of pieces of each length, at most ``capacity`` numbers, and is the same
-as if all pieces of all machines had been placed one by one. Pieces then find their places by
+made from the number of pieces of each length, at most ``capacity`` numbers. By the residual norm it fills
+sequences as if all pieces had been placed one by one; by the dot product single sequences may be filled
+otherwise, as pieces of one length go into the best state together. Pieces then find their places by
 their rank among the pieces of their length, counted per stored part.
 
 Defined cases: null text is an empty document (its end id only); repeated rows and ids are

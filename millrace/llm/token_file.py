@@ -7,8 +7,8 @@ is the place of the file's range, ``first`` the tokens of the part before the se
 Counts per part give every token its place in the whole sequence.
 
 Defined cases: null text is an empty document (its end id only); a null id comes first;
-documents with the same id follow each other in the order of their texts; other columns are
-not stored; an empty table gives a readable file without rows.
+documents with the same id follow each other, in ranges by a hash of their texts and within a range in
+the order of these; other columns are not stored; an empty table gives a readable file without rows.
 """
 
 from __future__ import annotations
