@@ -43,18 +43,27 @@ class Model:
 
 def training_sample(documents: DataFrame, label: str = "lang", key: str = "doc_id",
                     per_language: int = DOCUMENTS_PER_LANGUAGE) -> list[tuple[str, bytes]]:
-    """(language, window) of up to ``per_language`` documents of each language, chosen by a hash of the key."""
-    labelled = documents.where(F.col(label).isNotNull() & (F.length("text") > 0))
-    chosen = Window.partitionBy("_label").orderBy("_order", "_key")
-    ids = (labelled.select(F.col(label).alias("_label"), F.xxhash64(key).alias("_order"), F.col(key).alias("_key"))
-           .withColumn("_rank", F.row_number().over(chosen)).where(F.col("_rank") <= per_language)
-           .select("_key").distinct())
+    """(language, window) of up to ``per_language`` documents of each language, chosen by a hash of key and text.
+
+    A share of each language, some four times as many as wanted, goes by the hash alone; copies among them
+    become one, and only these are ranked. So no task sees all documents of a language, and what reaches the
+    driver is bounded however often an id or a text is repeated. A null key is one like others.
+    """
+    labelled = documents.where(F.col(label).isNotNull() & (F.length("text") > 0)).withColumn("_label", F.col(label))
+    counts = labelled.groupBy("_label").agg(F.count("*").alias("n")).collect()
+    if not counts:
+        return []
+    shares = {r._label: min(1.0, 4 * per_language / r.n) for r in counts}
+    limit = F.element_at(F.create_map(*[F.lit(x) for k, share in shares.items() for x in (
+        k, min((1 << 63) - 1, int(share * (1 << 64)) - (1 << 63)))]), F.col("_label"))
     at = F.transform(F.sequence(F.lit(0), F.lit(WINDOWS_PER_DOCUMENT - 1)), lambda i: F.substring(
         F.col("text"), 1 + F.floor(i * F.length("text") / WINDOWS_PER_DOCUMENT).cast("int"), F.lit(WINDOW)))
-    # broadcast: per_language ids for each language
-    rows = (labelled.join(F.broadcast(ids), F.col(key) == F.col("_key"))
-            .select(F.col(label).alias("_label"), "_key", F.explode(F.array_distinct(at)).alias("_window"))
-            .where("length(_window) > 0").orderBy("_label", "_key", "_window").collect())
+    some = labelled.withColumn("_order", F.xxhash64(F.col(key), F.col("text"))).where(F.col("_order") <= limit)
+    some = some.select("_label", "_order", F.array_distinct(at).alias("_windows")).distinct()
+    chosen = Window.partitionBy("_label").orderBy("_order", "_windows")
+    rows = (some.withColumn("_rank", F.row_number().over(chosen)).where(F.col("_rank") <= per_language)
+            .select("_label", "_order", F.explode("_windows").alias("_window"))
+            .where("length(_window) > 0").orderBy("_label", "_order", "_window").collect())
     return [(r[0], r[2].encode()[:WINDOW]) for r in rows]
 
 

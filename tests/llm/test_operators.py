@@ -170,6 +170,17 @@ def test_fingerprints(spark, texts):
         assert (rows[k].near_edited, rows[k].near_next) == (phrases.likeness(a, b), phrases.likeness(a, c))
 
 
+def test_sample_is_bounded_for_repeated_ids(spark):
+    rows = spark.range(20_000).select(
+        F.when(F.col("id") % 3 > 0, 5).otherwise(F.col("id")).alias("doc_id"), F.lit("en").alias("lang"),
+        F.when(F.col("id") % 3 == 1, F.lit("always the same words")).otherwise(F.concat(F.lit("text number "), "id")).alias("text"))
+    sample = training_sample(rows, per_language=50)
+    assert 50 <= len(sample) <= 200
+    nulls = rows.withColumn("doc_id", F.lit(None).cast("long")).withColumn("_label", F.lit("x"))
+    assert 50 <= len(training_sample(nulls, per_language=50)) <= 200
+    assert training_sample(rows.where("lang = 'none'")) == []
+
+
 def test_shards_of_one_hot_group(spark, tmp_path):
     frame = spark.createDataFrame([(i, "same" if i % 3 == 0 else f"t{i}", "clash", 1) for i in range(3000)], "i long, t string, shard string, slot int")
     out = histogram_shards(frame, F.lit(1), F.col("t"), F.col("i"))
@@ -183,6 +194,16 @@ def test_shards_of_one_hot_group(spark, tmp_path):
     assert spark.read.parquet(str(tmp_path / "s")).count() == 3000
 
 
+def test_shards_of_equal_rows(spark):
+    """Rows that nothing tells apart are cut too, by a stored number."""
+    frame = spark.createDataFrame([(7 if i % 4 else i, "same" if i % 4 else f"t{i}") for i in range(2000)], "i long, t string")
+    rows = histogram_shards(frame, F.lit(1), F.col("t"), F.col("i")).collect()
+    counts = np.bincount([r.shard for r in rows])
+    assert len(rows) == 2000 and counts.min() >= 249 and counts.max() <= 251
+    for s in range(8):
+        assert sorted(r.slot for r in rows if r.shard == s) == list(range(counts[s]))
+
+
 def test_outputs_hold_whole_documents(spark, texts, monkeypatch):
     """op7's shards have the texts, and op10's stored pieces the ids."""
     written = []
