@@ -1,7 +1,7 @@
 """Packing of token pieces into sequences by vector best fit.
 
 Documents are cut into pieces of at most the capacity. A sequence has several residual
-capacities: tokens, documents and attention cost (squared lengths). Longest pieces first,
+capacities: tokens, documents and attention cost (squared lengths in whole blocks). Longest pieces first,
 each goes into the open sequence that is best under every constraint, by the least residual
 norm or the largest weighted dot product of piece and residual; if none can take it, a new
 one is opened.
@@ -35,18 +35,27 @@ from millrace.sources.staging import stage
 
 @dataclass(frozen=True)
 class Capacity:
-    """Limits of one sequence. Attention cost is the sum of squared piece lengths."""
+    """Limits of one sequence. Attention cost is the sum of squared piece lengths, each rounded up to whole blocks.
+
+    With blocks of one token the attention limit is as good as that of tokens; kernels that work in
+    blocks of, say, 128 make many short pieces dearer than a long one.
+    """
 
     tokens: int = 2048
     documents: int = 2048
     attention: int = 2048 * 2048
+    block: int = 1
     rule: str = "norm"  # or "dot"
     weights: tuple[float, float, float] = (1.0, 1.0, 1.0)
 
     def __post_init__(self):
-        if self.documents < 1 or self.attention < self.tokens**2:
+        if self.documents < 1 or self.attention < self.cost(self.tokens):
             raise ValueError("a sequence must be able to take a piece of full length")
 
+    def cost(self, length: int) -> int:
+        """Attention cost of one piece."""
+        return (-(-length // self.block) * self.block) ** 2
+
 
 #: One step of a plan: ``count`` pieces of a length, from a rank on, ``each`` to a sequence, from sequence ``first`` on.
 STEP = np.dtype([("length", "<i8"), ("rank", "<i8"), ("each", "<i8"), ("first", "<i8"), ("offset", "<i8")])
@@ -60,7 +69,7 @@ def plan(counts: dict[int, int], limits: Capacity) -> np.ndarray:
     states: dict[tuple[int, int, int], list[tuple[int, int]]] = defaultdict(list)  # residuals: runs of sequences
     steps = []
     for length in sorted(counts, reverse=True):
-        need, left, rank = (length, 1, length * length), counts[length], 0
+        need, left, rank = (length, 1, limits.cost(length)), counts[length], 0
         while left:
             keys = list(states)
             best = None

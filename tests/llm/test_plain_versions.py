@@ -8,7 +8,7 @@ import pytest
 from pyspark.sql import functions as F
 
 import corpus_pipeline as pipeline
-from millrace.llm import edits, language, phrases
+from millrace.llm import edits, language, packing, phrases
 from millrace.llm.tokens import encoder, vocabulary
 
 FOLDER = "/root/testdata/sf0.001"
@@ -155,3 +155,50 @@ def test_packing_stage_places_every_token_once(spark):
     rows = docs.collect()
     library = encoder(vocabulary("word_bpe_49k.json")).library_ids([r.text or "" for r in rows])
     assert ids == {r.doc_id: x + bytes(4) for r, x in zip(rows, library)}
+
+
+def one_by_one(lengths, limits):
+    """Best fit of every single piece, longest first: (tokens, documents, cost) of each sequence."""
+    size, weights, opened = (limits.tokens, limits.documents, limits.attention), limits.weights, []
+    for n in sorted(lengths, reverse=True):
+        need = (n, 1, limits.cost(n))
+
+        def score(held):
+            left = [c - h for c, h in zip(size, held)]
+            if limits.rule == "dot":
+                return -sum(r / c * x / c * w for r, x, c, w in zip(left, need, size, weights))
+            return sum(((r - x) / c) ** 2 * w for r, x, c, w in zip(left, need, size, weights))
+
+        fits = [h for h in opened if all(a + b <= c for a, b, c in zip(h, need, size))]
+        held = min(fits, key=score, default=None)
+        if held is None:
+            held = (0, 0, 0)
+        else:
+            opened.remove(held)
+        opened.append(tuple(a + b for a, b in zip(held, need)))
+    return sorted(opened)
+
+
+@pytest.mark.parametrize("rule", ["norm", "dot"])
+@pytest.mark.parametrize("limits,binds", [
+    ({"tokens": 300, "documents": 300, "attention": 90_000}, 0), ({"tokens": 300, "documents": 3, "attention": 90_000}, 1),
+    ({"tokens": 320, "documents": 300, "attention": 320**2, "block": 64}, 2)])
+def test_each_capacity_binds_as_if_placed_one_by_one(rule, limits, binds):
+    rng = np.random.default_rng(5)
+    limits = packing.Capacity(rule=rule, **limits)
+    for most in (300, 40, 12):
+        values = rng.integers(1, most + 1, 250)
+        lengths, counts = np.unique(values, return_counts=True)
+        all_lengths = np.repeat(lengths, counts)
+        ranks = np.concatenate([np.arange(n) for n in counts])
+        sequence, _ = packing.places(packing.plan(dict(zip(lengths.tolist(), counts.tolist())), limits), all_lengths, ranks)
+        cost = np.array([limits.cost(n) for n in all_lengths.tolist()])
+        held = np.stack([np.bincount(sequence, w) for w in (all_lengths, np.ones(len(cost)), cost)]).astype(int)
+        assert (held.max(1) <= [limits.tokens, limits.documents, limits.attention]).all()
+        plain = one_by_one(values.tolist(), limits)
+        assert len(plain) == held.shape[1]
+        if rule == "norm":
+            assert sorted(map(tuple, held.T.tolist())) == plain
+    # With short pieces it is this limit that says how many sequences there must be.
+    least = held.sum(1) / [limits.tokens, limits.documents, limits.attention]
+    assert least.argmax() == binds and held.shape[1] >= least[binds] > 1.5 * np.delete(least, binds).max()
