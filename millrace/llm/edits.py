@@ -27,6 +27,7 @@ from millrace.llm.words import in_slices
 
 #: Pre-tokens of a block, and how many times as many it may grow to before the tree is built anew.
 BLOCK, GROWTH = 32, 4
+_SLICE = 1 << 20  # bytes of text whose pieces are held at once
 _CUT = re.compile(r"(?<=\S)(?=[ \n]\S)")
 TREE = "struct<chars:array<int>,tokens:array<int>>"
 _LISTS = pa.struct([("chars", pa.list_(pa.int32())), ("tokens", pa.list_(pa.int32()))])
@@ -122,7 +123,7 @@ def with_counts(documents: DataFrame, vocabulary_path: str) -> DataFrame:
 
     def build(texts: pa.Array) -> pa.Array:
         counter = Counter(vocabulary_path)
-        return pa.concat_arrays([pa.array([], _LISTS), *[sliced(counter, part) for _, part in in_slices(texts)]])
+        return pa.concat_arrays([pa.array([], _LISTS), *[sliced(counter, part) for _, part in in_slices(texts, _SLICE)]])
 
     def sliced(counter: Counter, texts: pa.Array) -> pa.Array:
         split = [_CUT.split(t) if t else [] for t in texts.to_pylist()]
@@ -146,7 +147,7 @@ def with_edits(counted: DataFrame, edits: str, vocabulary_path: str) -> DataFram
         counter = Counter(vocabulary_path)
         return pa.concat_arrays([pa.array([], _DONE), *[
             sliced(counter, part, trees.slice(lo, len(part)), changes.slice(lo, len(part)))
-            for lo, part in in_slices(texts)]])
+            for lo, part in in_slices(texts, _SLICE)]])
 
     def sliced(counter: Counter, texts: pa.Array, trees: pa.Array, changes: pa.Array) -> pa.Array:
         rows = []

@@ -105,7 +105,7 @@ class TextEncoder:
             out += [ids[a:b] for a, b in zip([0, *[e + 4 for e in ends]], ends)]
         return out
 
-    def _learn(self, new: set[str]) -> dict[str, bytes | bool]:
+    def _learn(self, new: set[str], keep: bool = True) -> dict[str, bytes | bool]:
         """Ids of parts not known so far. A mark after a letter is a token of its own."""
         known, marks, words = self.known, self.marks, set()
         marked = {p: p[:-1] for p in new if p[-1:] in marks and p[-2:-1].isalpha()}
@@ -125,7 +125,7 @@ class TextEncoder:
         for part, word in marked.items():
             ids = learnt.get(word, known.get(word))
             learnt[part] = ids is not False and ids + marks[part[-1]]
-        if len(known) < REMEMBERED:  # frequent parts come early
+        if keep and len(known) < REMEMBERED:  # frequent parts come early
             known.update(islice(learnt.items(), REMEMBERED - len(known)))
         return learnt
 
@@ -133,7 +133,7 @@ class TextEncoder:
         """Numbers of tokens of pieces that follow a cut, blank or line end included."""
         parts = {p: p[1:] if p[:1] == " " else p for p in pieces if p[:1] in (" ", "\n")}
         parts = {p: x for p, x in parts.items() if self.splitter.source(x) == p}
-        ids = self._learn(set(parts.values()))
+        ids = self._learn(set(parts.values()), keep=False)  # their numbers are remembered below
         out = {p: len(ids[x]) // 4 for p, x in parts.items() if ids[x] is not False}
         rest = [p for p in pieces if p not in out]
         out.update((p, len(x) // 4) for p, x in zip(rest, self.library_ids(rest)))
