@@ -8,7 +8,7 @@ import pytest
 from pyspark.sql import functions as F
 
 import corpus_pipeline as pipeline
-from millrace.llm import edits, language, packing, phrases
+from millrace.llm import edits, language, lattice, packing, phrases
 from millrace.llm.tokens import encoder, vocabulary
 
 FOLDER = "/root/testdata/sf0.001"
@@ -202,3 +202,36 @@ def test_each_capacity_binds_as_if_placed_one_by_one(rule, limits, binds):
     # With short pieces it is this limit that says how many sequences there must be.
     least = held.sum(1) / [limits.tokens, limits.documents, limits.attention]
     assert least.argmax() == binds and held.shape[1] >= least[binds] > 1.5 * np.delete(least, binds).max()
+
+
+def plain_best_path(word, scores, longest):
+    """Pieces on the path of the largest sum of scores; of equal sums that with the longer last piece."""
+    best = [(0.0, 0)]
+    for end in range(1, len(word) + 1):
+        options = []
+        for size in range(1, min(end, longest) + 1):
+            score = scores.get(word[end - size:end], (None, -1e6 if size == 1 else None))[1]
+            if score is not None:
+                options.append((best[end - size][0] + score, size))
+        best.append(max(options))
+    out, end = [], len(word)
+    while end:
+        out.insert(0, word[end - best[end][1]:end])
+        end -= best[end][1]
+    return out
+
+
+def test_best_path_of_a_unigram_reading(spark):
+    path = vocabulary("piece_bpe_32k.model")
+    pieces, longest, byte_base = lattice._pieces(spark, path)
+    scores = {p: (i, s) for p, i, s in lattice.piece_rows(path)}
+    rng = random.Random(6)
+    text = spark.read.parquet(f"{FOLDER}/documents.parquet").where("text IS NOT NULL").limit(20).collect()
+    words = {f"{lattice.MARK}{w}" for r in text for w in r.text.split()[:40]}
+    words |= {"".join(rng.choices("ab▁éλ字", k=rng.randrange(1, 30))) for _ in range(40)} | {"x" * 90, lattice.MARK}
+    frame = spark.createDataFrame([(w,) for w in sorted(words)], "word string")
+    found = {r.word: r.ids for r in lattice.encode_words(frame, pieces, longest, byte_base, "unigram").collect()}
+    for w in words:
+        want = [i for p in plain_best_path(w, scores, longest)
+                for i in ([scores[p][0]] if p in scores else [byte_base + b for b in p.encode()])]
+        assert found[w] == want
