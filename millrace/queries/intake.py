@@ -61,7 +61,7 @@ def first_rows(w):
 @query("s4_named_table", """
 SELECT shipping_mode, count(*) AS rows FROM {{joined}} GROUP BY ALL""")
 def scan_named_table(w):
-    w.training.createOrReplaceTempView("millrace_training_view")
+    w.training_once.createOrReplaceTempView("millrace_training_view")
     rows = named_table(w.spark, "millrace_training_view")
     return rows.groupBy("shipping_mode").agg(F.count("*").alias("rows"))
 

@@ -35,6 +35,23 @@ def test_hot_rows_are_dealt_out(spark):
     assert joined.columns == ["k", "id", "name"]
 
 
+def _plan(frame):
+    return frame._jdf.queryExecution().executedPlan().toString()
+
+
+def test_large_lookups_are_hashed_and_facts_not_sorted(spark, monkeypatch):
+    facts, names = skewed(spark), lookup(spark)
+    want = sorted(map(tuple, facts.join(names, "k").collect()))
+    for share in (0.1, 0.9):
+        joined = lookup_join(facts, names, "k", broadcast_bytes=0, hot_share=share)
+        assert "ShuffledHashJoin" in _plan(joined) and "Sort " not in _plan(joined)
+        assert sorted(map(tuple, joined.select("k", "id", "name").collect())) == want
+    monkeypatch.setattr("millrace.operators.joins.HASHED_BYTES", 0)
+    merged = lookup_join(facts, names, "k", broadcast_bytes=0, hot_share=0.9)
+    assert "ShuffledHashJoin" not in _plan(merged)
+    assert sorted(map(tuple, merged.select("k", "id", "name").collect())) == want
+
+
 def test_chained_joins_read_the_facts_once(spark, tmp_path):
     key = F.when(F.col("id") % 3 == 0, 7).otherwise(F.col("id") % 40)
     spark.range(3000).select("id", *[key.alias(f"k{i}") for i in range(3)]).write.parquet(f"{tmp_path}/facts")

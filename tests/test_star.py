@@ -89,3 +89,12 @@ def test_filters_and_columns_reach_the_scan(built):
     plan = star.training_view(built)._jdf.queryExecution().executedPlan().toString()
     assert "IsNotNull(customer_state)" in plan and "GreaterThanOrEqual(days_for_shipping_real,0)" in plan
     assert "customer_zipcode" not in plan
+
+
+def test_distinct_orders_combine_before_the_shuffle_only_where_copies_are_many(cleaned):
+    many = cleaned.unionByName(cleaned).unionByName(cleaned)
+    few, copied = star.distinct_orders(cleaned), star.distinct_orders(many)
+    repartitioned = lambda frame: "RepartitionByExpression" in frame._jdf.queryExecution().optimizedPlan().toString()
+    assert repartitioned(few) and not repartitioned(copied)
+    rows = lambda frame: sorted(map(str, frame.collect()))
+    assert rows(few) == rows(copied)
