@@ -3,7 +3,9 @@
 from datetime import datetime
 
 import pytest
+from pyspark.sql import functions as F
 
+from millrace.plans import warehouse as warehouses
 from millrace.plans.star import clean_extract
 from millrace.plans.warehouse import Warehouse
 from millrace.queries.evaluation import predictions
@@ -53,3 +55,15 @@ def test_predictions_join_the_star_once(warehouse):
     rows = predictions(warehouse)
     assert rows.count() == warehouse.training.count() > 0
     assert not any("dim_" in f or "distinct_orders" in f for f in rows.inputFiles())
+
+
+def test_the_vault_job_reads_events_dealt_out_to_all_cores(spark, tmp_path, monkeypatch):
+    rows = spark.range(4000).select(F.col("id").alias("event_id"), F.lit(datetime(2024, 1, 1)).alias("ts"),
+                                    (F.col("id") % 300).cast("double").alias("value"))
+    rows = rows.unionByName(rows.where("event_id < 3")).unionByName(rows.limit(1).withColumn("event_id", F.lit(None).cast("long")))
+    rows.coalesce(1).write.parquet(f"{tmp_path}/events.parquet")
+    monkeypatch.setattr(warehouses, "vault_job", lambda raw, **_: raw)  # the rows that the job is given
+    warehouse = Warehouse(spark, str(tmp_path))
+    sizes = [r[0] for r in warehouse.vault.groupBy(F.spark_partition_id()).count().select("count").collect()]
+    assert len(sizes) >= spark.sparkContext.defaultParallelism and max(sizes) < 2 * 4004 / len(sizes)
+    assert _rows(warehouse.vault) == _rows(warehouse.telemetry_raw)
