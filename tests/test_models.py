@@ -114,3 +114,18 @@ def test_cleaner_learns_once_and_applies_elsewhere(spark):
     one = cleaner.apply(raw.limit(1))
     assert one.columns[5] == "temp_difference_k" and one.columns == clean_telemetry(raw).columns
     assert cleaner.apply(raw).filter("torque_nm IS NULL").count() == 0
+
+
+def test_fits_side_by_side_keep_a_bounded_number_of_bytes(spark, view, monkeypatch):
+    assert models.fits_at_once(0, 1_500) == models.fits_at_once(125_000, 1_538) == 4
+    assert models.fits_at_once(750_000, 1_538) == models.fits_at_once(10**9, 1_538) == 1
+    assert models.fits_at_once(7_500_000, 10) == 4 and models.fits_at_once(7_500_000, 10, most=2) == 2
+    rows = delivery.prepare_rows(view)
+    one = rows.train.count() // 2 * (4 * rows.encoder.width + models.ROW_BYTES)
+    monkeypatch.setattr(delivery, "grid_search", lambda *_, parallelism, **__: parallelism)
+    for train in (delivery.train_boosted, delivery.train_forest):
+        found = []
+        for room in (one // 2, 2 * one, 9 * one):
+            monkeypatch.setattr(models, "FIT_BYTES", room)
+            found.append(train(rows, {}, folds=2))
+        assert found == [1, 2, 4]
