@@ -141,3 +141,50 @@ def test_class_pairs_of_many_texts_take_little_memory():
     tracemalloc.stop()
     assert {r["pair"]: r["n"] for part in got for r in part.to_pylist()} == wanted
     assert peak < of.size * 8
+
+
+def test_moves_at_once_are_those_of_single_words():
+    """One word in a batch goes where it goes alone and moves the counts alike."""
+    rng = np.random.default_rng(5)
+    words, classes = 40, 9
+    text = 1 + rng.integers(0, words, 3000) // rng.integers(1, 6, 3000)
+    of = exchange.first_classes(words, classes)
+    pairs = np.zeros((classes + 1, classes + 1))
+    np.add.at(pairs, (of[text[:-1]], of[text[1:]]), 1)
+    moved = 0
+    for w in np.unique(text):
+        sides, itself = [], 0
+        for here, there in ((text[1:], text[:-1]), (text[:-1], text[1:])):
+            other = there[here == w]
+            itself = int((other == w).sum())
+            sides.append(of[other[other != w]])
+        one, many = exchange.Exchange(pairs), exchange.Exchange(pairs)
+        want = one.move(int(of[w]), *[np.bincount(c, minlength=classes + 1).astype(float) for c in sides], itself)
+        entries = [(np.zeros(len(c), int), c, np.ones(len(c), int)) for c in sides]
+        assert many.moves(of[[w]], *entries, np.array([itself])).tolist() == [want]
+        assert np.allclose(one.pairs, many.pairs) and np.allclose(one.first, many.first) and np.allclose(one.second, many.second)
+        moved += want != of[w]
+    assert moved > 5
+
+
+def test_words_outside_the_core_move_too(spark, rows, monkeypatch):
+    """With a core of 50, the rounds' counts of class pairs are those of the texts, and the likelihood rises well beyond the core's own rounds."""
+    monkeypatch.setattr(class_model, "CORE", 50)
+    kept, seen = {}, []
+    real, pairs = class_model._texts, class_model._pairs
+    monkeypatch.setattr(class_model, "_texts", lambda *a: kept.update(vocabulary=a[1], core=a[3]) or real(*a))
+    monkeypatch.setattr(class_model, "_pairs", lambda *a: seen.append(pairs(*a)) or seen[-1])
+    scored(spark, rows)
+    core = kept["core"]
+    of = {int(w): int(core.of[i]) for w, i in zip(core.words.view(np.int64), core.numbers)}
+    of |= {r.word: r["class"] for r in kept["vocabulary"].collect()}
+    flat = [t for k, text in rows if not held(k) for t in tokens(text)]
+    words = [t for t in dict.fromkeys(flat) if t is not None]
+    hashed = class_model.words_of(class_model.pa.array([t.decode() for t in words])).hashes.view(np.int64).tolist()
+    kinds = {None: exchange.END} | {t: of[h] for t, h in zip(words, hashed)}
+    classes = np.array([exchange.END] + [kinds[t] for t in flat])
+    found = np.zeros((class_model.CLASSES + 1,) * 2)
+    np.add.at(found, (classes[:-1], classes[1:]), 1)
+    reached = exchange.likelihood(found)
+    assert any(np.array_equal(found, p) for p in seen)
+    assert reached > 0.95 * max(exchange.likelihood(p) for p in seen[:class_model.ROUNDS + 1])  # both are negative
