@@ -34,8 +34,9 @@ SELECT order_country, customer_segment, count(*) AS rows, count(DISTINCT product
 FROM {{extract}} GROUP BY ALL""")
 def latin1_scan(w):
     path = new_location(w.spark, "latin1")
-    write_delimited(w.extract, path, LATIN_1)
-    rows = rename_all(read_delimited(w.spark, path, w.extract.schema, LATIN_1), spaced_name)
+    extract = w.extract_once
+    write_delimited(extract, path, LATIN_1, compression="gzip")
+    rows = rename_all(read_delimited(w.spark, path, extract.schema, LATIN_1), spaced_name)
     return rows.groupBy("order_country", "customer_segment").agg(
         F.count("*").alias("rows"), F.count_distinct("product_name").alias("products"),
         round_half_even(F.sum("order_item_total"), 4).alias("total"))

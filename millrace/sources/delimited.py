@@ -8,6 +8,7 @@ from millrace.operators.columns import accepted, check_types, malformed
 
 LATIN_1 = "ISO-8859-1"
 _LINE = "_malformed_line"
+FILE_ROWS = 2_000_000
 # Texts that stand for a missing value in delimited files.
 MISSING_TOKENS = ["", "#N/A", "#N/A N/A", "#NA", "-1.#IND", "-1.#QNAN", "-NaN", "-nan", "1.#IND", "1.#QNAN",
                   "<NA>", "N/A", "NA", "NULL", "NaN", "None", "n/a", "nan", "null"]
@@ -64,8 +65,13 @@ def read_delimited_text(
 
 
 def write_delimited(
-    frame: DataFrame, path: str, encoding: str = "UTF-8", mode: str = "errorifexists"
+    frame: DataFrame, path: str, encoding: str = "UTF-8", mode: str = "errorifexists", compression: str = "none",
 ) -> None:
-    """One file per partition, each with the header; no row numbers."""
-    (frame.write.mode(mode).option("header", True).option("encoding", encoding)
+    """One file per partition, each with the header; no row numbers.
+
+    With a ``compression`` that readers know by the files' names, partitions are cut into files of at most
+    ``FILE_ROWS`` rows, as such a file is read by one task.
+    """
+    writer = frame.write.mode(mode) if compression == "none" else frame.write.mode(mode).option("maxRecordsPerFile", FILE_ROWS)
+    (writer.option("header", True).option("encoding", encoding).option("compression", compression)
      .option("quote", '"').option("escape", '"').csv(path))

@@ -84,3 +84,29 @@ def test_rejects_neither_raise_nor_vanish(spark, tmp_path):
     text = delimited.read_delimited_text(spark, str(tmp_path / "rows.csv"))
     whole = lambda rows: sorted((tuple(r) for r in rows.collect() if r.id not in ("4", "5")), key=str)
     assert whole(typed) == whole(text)
+
+
+def test_compressed_files_read_back_the_same(spark, tmp_path, monkeypatch):
+    """Rows with quotes, accents, nulls and copies; files are cut at the given number of rows."""
+    monkeypatch.setattr(delimited, "FILE_ROWS", 300)
+    data = [(i, 'a "quoted", México' if i % 3 else None, i / 7) for i in range(1000)] * 2
+    rows = spark.createDataFrame(data, "id bigint, name string, x double").coalesce(1)
+    for encoding in ("UTF-8", delimited.LATIN_1):
+        path = tmp_path / encoding
+        delimited.write_delimited(rows, str(path), encoding, compression="gzip")
+        assert len(list(path.glob("*.csv.gz"))) == 7
+        got = delimited.read_delimited(spark, str(path), rows.schema, encoding)
+        assert sorted(got.collect(), key=str) == sorted(rows.collect(), key=str)
+
+
+@pytest.mark.parametrize("name", ["latin1_scan"])
+def test_queries_store_delimited_copies_compressed(spark, tmp_path, monkeypatch, name):
+    from millrace.plans.warehouse import Warehouse
+    from millrace.queries import intake
+
+    monkeypatch.setattr(intake, "new_location", lambda spark, label: str(tmp_path / label))
+    work = Warehouse(spark, "/root/testdata/sf0.001")
+    assert getattr(intake, name)(work).count() > 0
+    files = [f.name for f in tmp_path.glob("*/part-*")]
+    assert files and all(f.endswith(".csv.gz") for f in files)
+    assert "extract" not in vars(work)  # the extract is written once, as the delimited copy
