@@ -226,7 +226,7 @@ def enforced_types(w):
     path = new_location(w.spark, "untyped")
     write_delimited(w.cleaned.withColumnsRenamed({
         "days_for_shipping_(real)": "days_for_shipping_real",
-        "order_date_(dateorders)": "order_date_dateorders"}), path)
+        "order_date_(dateorders)": "order_date_dateorders"}), path, compression="gzip")
     chosen = ["order_id", "order_item_id", "order_item_total", "days_for_shipping_real",
               "order_date_dateorders"]
     return enforce_types(read_delimited_text(w.spark, path), {c: ORDER_TYPES[c] for c in chosen},

@@ -99,7 +99,7 @@ def test_compressed_files_read_back_the_same(spark, tmp_path, monkeypatch):
         assert sorted(got.collect(), key=str) == sorted(rows.collect(), key=str)
 
 
-@pytest.mark.parametrize("name", ["latin1_scan"])
+@pytest.mark.parametrize("name", ["latin1_scan", "enforced_types"])
 def test_queries_store_delimited_copies_compressed(spark, tmp_path, monkeypatch, name):
     from millrace.plans.warehouse import Warehouse
     from millrace.queries import intake
